@@ -1,0 +1,101 @@
+"""Build of the warehouse from the two register files."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from periodica.functions.members import normalize_history, normalize_stock
+from periodica.functions.territory import in_departements
+from periodica.operators.dims import dim_activite, dim_commune, dim_date
+from periodica.operators.integrity import integrity_report
+from periodica.operators.joins import (
+    BROADCAST_KEYS,
+    few_keys,
+    restrict_history,
+    restrict_history_by_broadcast,
+)
+from periodica.operators.metrics import run_metrics
+from periodica.operators.scd2 import preset, scd2_merge, scd2_versions
+from periodica.plans.warehouse import FACT, Warehouse
+from periodica.sources.register import headcount_bands, scan_history, scan_stock
+
+
+def build_warehouse(
+    spark: SparkSession,
+    stock_path: str,
+    history_path: str,
+    root: str,
+    departements: Iterable[str] | None = None,
+    *,
+    rules: str = "decided",
+    as_of: dt.date | None = None,
+    broadcast_keys: int = BROADCAST_KEYS,
+    fail_on_violation: bool = False,
+) -> DataFrame:
+    """Scan, filter, dimensions, versions, publish; returns the run metrics.
+
+    Dimensions are loaded first and only gain rows. The versions of a run replace those of its
+    departments; other departments keep theirs, so a region is one run or several.
+    """
+    as_of = as_of or dt.date.today()
+    departements = None if departements is None else list(departements)
+    stock = scan_stock(spark, stock_path, departements)
+    history = scan_history(spark, history_path)
+
+    # A small retained stock goes to every executor and cuts the history inside the scan. A large
+    # one is joined after the periods are reduced, where no establishment is crowded any more.
+    small = few_keys(stock, broadcast_keys)
+    if small:
+        retained = periods = restrict_history_by_broadcast(history, stock)
+    else:
+        retained, periods = restrict_history(history, stock), history
+
+    options = preset(rules, as_of)
+    if options.get("default_members"):
+        dims_stock, dims_history = normalize_stock(stock), normalize_history(retained)
+    else:
+        dims_stock, dims_history = stock, retained
+
+    warehouse = Warehouse(spark, root)
+    warehouse.create_schema()
+    warehouse.insert("dim_activite", dim_activite(dims_history, as_of))
+    warehouse.insert("dim_tranche_effectifs", headcount_bands(spark))
+    warehouse.insert("dim_commune", dim_commune(dims_stock))
+    warehouse.insert("dim_date", dim_date(dims_history))
+
+    fact = scd2_versions(periods, stock, **options)
+    if departements is not None:
+        # versions outside the departments stay, but for establishments that moved into them
+        inside = F.coalesce(in_departements("code_commune", departements), F.lit(False))
+        others = warehouse.read(FACT).filter(~inside)
+        others = others.join(stock.select("siret"), "siret", "left_anti")
+        fact = others.select(fact.columns).unionByName(fact)
+    if warehouse.publish(FACT, fact) == 0:
+        print("no version to publish")
+
+    tables = warehouse.tables()
+    if fail_on_violation:
+        integrity_report(tables, fail_on_violation=True)
+    return run_metrics(stock, retained, tables["dim_commune"], tables[FACT], departements)
+
+
+def merge_month(
+    warehouse: Warehouse,
+    loaded: DataFrame,
+    batch: DataFrame,
+    stock: DataFrame,
+    *,
+    rules: str = "decided",
+    as_of: dt.date | None = None,
+) -> int:
+    """Bring new periods into a published warehouse; returns the number of versions."""
+    as_of = as_of or dt.date.today()
+    warehouse.insert("dim_activite", dim_activite(restrict_history(batch, stock), as_of))
+    warehouse.insert("dim_commune", dim_commune(stock))
+    warehouse.insert("dim_date", dim_date(restrict_history(batch, stock)))
+    fact = scd2_merge(warehouse.read(FACT), loaded, batch, stock, **preset(rules, as_of))
+    return warehouse.publish(FACT, fact)
