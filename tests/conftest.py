@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         8,
         **{
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
+            # plans are compared as text
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": str(shared / "checkpoints"),
         },
     )
