@@ -108,31 +108,34 @@ def snapshot(spark, sf):
 
 
 def integrity_report(spark, sf):
-    stock, history = _stock(spark, sf), _retained(spark, sf, with_end=False)
+    stock, history = _stock(spark, sf), derived.history(spark, sf, with_end=False)
+    retained = joins.restrict_history(history, stock)
     return integrity.integrity_report(
         {
             "dim_commune": dims.dim_commune(stock),
-            "dim_activite": dims.dim_activite(history, AS_OF),
-            "dim_date": dims.dim_date(history),
+            "dim_activite": dims.dim_activite(retained, AS_OF),
+            "dim_date": dims.dim_date(retained),
             "dim_tranche_effectifs": headcount_bands(spark),
-            FACT: _fact(spark, sf),
+            FACT: scd2_versions(history, stock),
         }
     )
 
 
 def raw_key_report(spark, sf):
-    raw = _retained(spark, sf, with_end=False).withColumnRenamed("date_debut", "valid_from")
+    """Periods that share their start date, before the versions are built."""
+    raw = derived.history(spark, sf, with_end=False).withColumnRenamed("date_debut", "valid_from")
     return integrity.duplicate_keys(raw, FACT)
 
 
 def run_metrics(spark, sf):
-    stock = _stock(spark, sf)
-    retained = _retained(spark, sf, with_end=False)
-    return metrics(stock, retained, dims.dim_commune(stock), _fact(spark, sf))
+    stock, history = _stock(spark, sf), derived.history(spark, sf, with_end=False)
+    retained = joins.restrict_history(history, stock)
+    return metrics(stock, retained, dims.dim_commune(stock), scd2_versions(history, stock))
 
 
 def q03(spark, sf):
-    return analyses.top_communes(_fact(spark, sf), dims.dim_commune(_stock(spark, sf)))
+    stock, history = _stock(spark, sf), derived.history(spark, sf, with_end=False)
+    return analyses.top_communes(scd2_versions(history, stock), dims.dim_commune(stock))
 
 
 def entry(spark: SparkSession) -> DataFrame:

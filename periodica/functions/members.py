@@ -65,13 +65,10 @@ def known_band(column: Column | str) -> Column:
     return F.when(column.isin(*BANDS), column).otherwise(UNKNOWN_BAND)
 
 
-def estimated_jobs(band: Column | str) -> Column:
-    """Midpoint of a band, 0 for unknown, missing and `NN`."""
-    band = F.col(band) if isinstance(band, str) else band
-    value = F
-    for code, jobs in MIDPOINTS.items():
-        value = value.when(band == code, float(jobs))
-    return value.otherwise(0.0)
+def estimated_jobs(band: str) -> Column:
+    """Midpoint of the band in a column, 0 for unknown, missing and `NN`."""
+    cases = " ".join(f"WHEN '{code}' THEN {float(jobs)}D" for code, jobs in MIDPOINTS.items())
+    return F.expr(f"CASE {band} {cases} ELSE 0D END")
 
 
 def normalize_stock(stock: DataFrame) -> DataFrame:

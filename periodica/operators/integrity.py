@@ -23,30 +23,55 @@ class IntegrityError(ValueError):
     """A table breaks the schema."""
 
 
-def _violation(df: DataFrame, table: str, rule: str, column: str, key: Column) -> DataFrame:
-    """`df` has a count in `nb`."""
-    return df.select(
+def duplicate_keys(df: DataFrame, table: str) -> DataFrame:
+    key = PRIMARY_KEYS[table]
+    counts = df.groupBy(*key).agg(F.count("*").alias("nb")).filter("nb > 1")
+    return counts.select(
         F.lit(table).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        F.lit(column).alias("column_name"),
-        key.cast("string").alias("key"),
-        F.col("nb"),
+        F.lit("primary_key").alias("rule"),
+        F.lit(",".join(key)).alias("column_name"),
+        F.concat_ws("|", *[F.col(k).cast("string") for k in key]).alias("key"),
+        "nb",
     )
 
 
-def duplicate_keys(df: DataFrame, table: str) -> DataFrame:
-    key = PRIMARY_KEYS[table]
-    counts = df.groupBy(*key).agg(F.count("*").alias("nb")).filter("nb > 1")
-    label = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-    return _violation(counts, table, "primary_key", ",".join(key), label)
+def orphan_keys(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact keys without a dimension row, for the given dimensions.
 
+    One pass over the fact: all key columns are counted together, per (column, key) inside the map
+    tasks, and only the distinct keys are joined with the dimensions.
+    """
+    checked = {c: ref for c, ref in FOREIGN_KEYS.items() if ref[0] in dims}
 
-def orphan_keys(fact: DataFrame, dim: DataFrame, column: str, dim_table: str, dim_key: str) -> DataFrame:
-    """Fact keys without a dimension row; the fact is counted per key before the join."""
-    used = fact.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("nb"))
-    known = dim.select(F.col(dim_key).alias(column))
-    return _violation(
-        used.join(known, column, "left_anti"), FACT, f"foreign_key:{dim_table}", column, F.col(column)
+    def entry(column: str) -> Column:
+        return F.struct(
+            F.lit(column).alias("column_name"), F.col(column).cast("string").alias("key")
+        )
+
+    used = (
+        fact.select(F.inline(F.array(*[entry(c) for c in checked])))
+        .filter(F.col("key").isNotNull())
+        .groupBy("column_name", "key")
+        .agg(F.count("*").alias("nb"))
+    )
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            dims[table].select(
+                F.lit(column).alias("column_name"), F.col(key).cast("string").alias("key")
+            )
+            for column, (table, key) in checked.items()
+        ],
+    )
+    rule = F.create_map(
+        *[F.lit(x) for c, (table, _) in checked.items() for x in (c, f"foreign_key:{table}")]
+    )
+    return used.join(known, ["column_name", "key"], "left_anti").select(
+        F.lit(FACT).alias("table_name"),
+        rule[F.col("column_name")].alias("rule"),
+        "column_name",
+        "key",
+        "nb",
     )
 
 
@@ -85,12 +110,9 @@ def integrity_report(
     for name in TABLES:
         if name in tables:
             parts += [duplicate_keys(tables[name], name), column_rules(tables[name], name)]
-    if FACT in tables:
-        for column, (dim_table, dim_key) in FOREIGN_KEYS.items():
-            if dim_table in tables:
-                parts.append(
-                    orphan_keys(tables[FACT], tables[dim_table], column, dim_table, dim_key)
-                )
+    dims = {name: tables[name] for name, _ in FOREIGN_KEYS.values() if name in tables}
+    if FACT in tables and dims:
+        parts.append(orphan_keys(tables[FACT], dims))
     report = reduce(DataFrame.unionByName, parts)
     if fail_on_violation:
         sample = report.limit(5).collect()

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.functions.members import BANDS
@@ -22,8 +21,8 @@ from periodica.schemas import (
 
 def short_names(source: DataFrame, names: dict[str, str]) -> DataFrame:
     """Select and rename the known columns; further columns keep their name and follow."""
-    extra = [F.col(c) for c in source.columns if c not in names]
-    return source.select(*[F.col(c).alias(names[c]) for c in names], *extra)
+    extra = [c for c in source.columns if c not in names]
+    return source.selectExpr(*[f"{c} AS {names[c]}" for c in names], *extra)
 
 
 def scope_stock(stock: DataFrame, departements: Iterable[str] | None = None) -> DataFrame:
