@@ -7,6 +7,7 @@ not one per establishment.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -65,28 +66,33 @@ def active_on(fact: DataFrame, day: dt.date = PAST) -> DataFrame:
     return active_at(fact, day).agg(F.count("*").alias("nb_actifs"))
 
 
-def sector_growth(fact: DataFrame, day: dt.date = PAST) -> DataFrame:
-    """Q7: active establishments per sector on a past date and today.
+def _two_sided(counts: DataFrame, left: str, right: str) -> DataFrame:
+    """Per-sector counts of two sets, as a full outer join of the two counts would give them.
 
-    One pass instead of a full outer join of two counts. The join never matches a missing sector
-    with itself, so that one gives a row for each side.
+    Both counts come from one pass. The join never matches a missing sector with itself, so that
+    one gets a row for each side.
     """
+
+    def pair(a, b):
+        return F.struct(a.alias(left), b.alias(right))
+
+    none, a, b = F.lit(0).cast("long"), F.col(left), F.col(right)
+    sides = F.filter(F.array(pair(a, none), pair(none, b)), lambda s: s[left] + s[right] > 0)
+    rows = F.when(F.col("code_ape").isNull(), sides).otherwise(F.array(pair(a, b)))
+    keys = [c for c in counts.columns if c not in (left, right)]
+    return counts.select(*keys, F.inline(rows))
+
+
+def sector_growth(fact: DataFrame, day: dt.date = PAST) -> DataFrame:
+    """Q7: active establishments per sector on a past date and today."""
     before, after = valid_at(day), F.col("is_current")
     counts = (
         fact.filter((F.col("etat") == "A") & (before | after))
         .groupBy("code_ape")
         .agg(F.count_if(before).alias("nb_avant"), F.count_if(after).alias("nb_apres"))
     )
-
-    def pair(a, b):
-        return F.struct(a.alias("nb_avant"), b.alias("nb_apres"))
-
-    none, n_before, n_after = F.lit(0).cast("long"), F.col("nb_avant"), F.col("nb_apres")
-    sides = F.array(pair(n_before, none), pair(none, n_after))
-    sides = F.filter(sides, lambda s: s["nb_avant"] + s["nb_apres"] > 0)
-    rows = F.when(F.col("code_ape").isNull(), sides).otherwise(F.array(pair(n_before, n_after)))
-    split = counts.select("code_ape", F.inline(rows))
-    return split.withColumn("variation", F.col("nb_apres") - F.col("nb_avant")).orderBy(
+    both = _two_sided(counts, "nb_avant", "nb_apres")
+    return both.withColumn("variation", F.col("nb_apres") - F.col("nb_avant")).orderBy(
         F.desc("variation"), F.asc_nulls_last("code_ape")
     )
 
@@ -100,54 +106,73 @@ def entity_history(fact: DataFrame, siret: str) -> DataFrame:
     )
 
 
-def _creations(fact: DataFrame, *sector: str) -> DataFrame:
-    """First version of each establishment, or of each establishment in each sector."""
-    return fact.groupBy("siret", *sector).agg(F.min("valid_from").alias("date_creation"))
-
-
-def _closures(fact: DataFrame) -> DataFrame:
+def _with_previous_state(fact: DataFrame) -> DataFrame:
     by_siret = W.partitionBy("siret").orderBy("valid_from")
-    ordered = fact.withColumn("etat_precedent", F.lag("etat").over(by_siret))
-    return ordered.filter(closing())
+    return fact.withColumn("etat_precedent", F.lag("etat").over(by_siret))
 
 
 def creations_per_year(fact: DataFrame, first: int = YEARS[0], last: int = YEARS[1]) -> DataFrame:
     """Q9: establishments by the year of their first version."""
-    firsts = _creations(fact).filter(year_between("date_creation", first, last))
-    return _count_per(firsts, F.year("date_creation").alias("annee"), name="nb_creations").orderBy(
+    created = fact.groupBy("siret").agg(F.min("valid_from").alias("date_creation"))
+    created = created.filter(year_between("date_creation", first, last))
+    return _count_per(created, F.year("date_creation").alias("annee"), name="nb_creations").orderBy(
         "annee"
     )
 
 
 def closures_per_year(fact: DataFrame, first: int = YEARS[0], last: int = YEARS[1]) -> DataFrame:
     """Q10: transitions from active to closed by year."""
-    closures = _closures(fact).filter(year_between("valid_from", first, last))
-    return _count_per(closures, F.year("valid_from").alias("annee"), name="nb_fermetures").orderBy(
+    closed = _with_previous_state(fact).filter(closing())
+    closed = closed.filter(year_between("valid_from", first, last))
+    return _count_per(closed, F.year("valid_from").alias("annee"), name="nb_fermetures").orderBy(
         "annee"
     )
 
 
 def net_balance(fact: DataFrame, first: int = YEARS[0], last: int = YEARS[1]) -> DataFrame:
-    """Q11: creations minus closures by sector and year."""
-    created = _count_per(
-        _creations(fact, "code_ape").filter(year_between("date_creation", first, last)),
-        "code_ape",
-        F.year("date_creation").alias("annee"),
-        name="nb_creations",
-    )
-    closed = _count_per(
-        _closures(fact).filter(year_between("valid_from", first, last)),
+    """Q11: creations minus closures by sector and year.
+
+    An establishment is created in a sector with its first version there. That version and a
+    closing one are rows of the same fact, so one shuffle on siret serves both counts.
+    """
+    by_sector = W.partitionBy("siret", "code_ape").orderBy("valid_from")
+    events = _with_previous_state(fact).select(
         "code_ape",
         F.year("valid_from").alias("annee"),
-        name="nb_fermetures",
+        (F.row_number().over(by_sector) == 1).alias("created"),
+        F.coalesce(closing(), F.lit(False)).alias("closed"),
     )
-    zero = F.lit(0).cast("long")
-    both = created.join(closed, ["code_ape", "annee"], "full").select(
-        "code_ape",
-        "annee",
-        F.coalesce("nb_creations", zero).alias("creations"),
-        F.coalesce("nb_fermetures", zero).alias("fermetures"),
+    counts = (
+        events.filter(F.col("annee").between(first, last) & (F.col("created") | F.col("closed")))
+        .groupBy("code_ape", "annee")
+        .agg(F.count_if("created").alias("creations"), F.count_if("closed").alias("fermetures"))
     )
+    both = _two_sided(counts, "creations", "fermetures")
     return both.withColumn("solde", F.col("creations") - F.col("fermetures")).orderBy(
         "annee", F.desc("solde"), F.asc_nulls_last("code_ape")
     )
+
+
+def all_questions(
+    tables: Mapping[str, DataFrame],
+    siret: str | None = None,
+    past: dt.date = PAST,
+    years: tuple[int, int] = YEARS,
+) -> dict[str, DataFrame]:
+    """Every question on a warehouse, by name; Q8 only for a given establishment."""
+    fact = tables["fait_etablissement_version"]
+    answers = {
+        "q01_active": active_now(fact),
+        "q02_top_sectors": top_sectors(fact),
+        "q03_top_communes": top_communes(fact, tables["dim_commune"]),
+        "q04_by_band": active_by_band(fact, tables["dim_tranche_effectifs"]),
+        "q05_jobs": jobs_estimate(fact),
+        "q06_active_past": active_on(fact, past),
+        "q07_sector_growth": sector_growth(fact, past),
+        "q09_creations": creations_per_year(fact, *years),
+        "q10_closures": closures_per_year(fact, *years),
+        "q11_net_balance": net_balance(fact, *years),
+    }
+    if siret is not None:
+        answers["q08_entity"] = entity_history(fact, siret)
+    return answers

@@ -109,6 +109,11 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {table: self.read(table) for table in self._versions()}
 
+    def register_views(self) -> None:
+        """Make every table a view of its own name, for questions in SQL."""
+        for table, df in self.tables().items():
+            df.createOrReplaceTempView(table)
+
     def publish(self, table: str, df: DataFrame, allow_empty: bool = False) -> int:
         """Replace a table; returns its number of rows. With no rows nothing is published."""
         version = self._versions().get(table, -1) + 1

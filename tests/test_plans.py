@@ -82,11 +82,64 @@ def test_top_k_is_no_global_sort(spark):
     assert "rangepartitioning" not in text
 
 
-def test_growth_reads_the_fact_once(spark):
-    text = plan(registry.queries()["q07_sector_growth"](spark, SF))
+@pytest.mark.parametrize("name", ["q07_sector_growth", "q11_net_balance"])
+def test_two_sided_counts_read_the_fact_once(spark, name):
+    text = plan(registry.queries()[name](spark, SF))
     assert text.count("orders.parquet") == 1
 
 
+def test_net_balance_shuffles_the_fact_once(spark, tmp_path):
+    registry._fact(spark, SF).write.parquet(str(tmp_path / "fact"))
+    text = plan(analyses.net_balance(spark.read.parquet(str(tmp_path / "fact"))))
+    assert [keys(s) for s in shuffles(text) if "siret" in s] == ["siret, 8"]
+
+
+@pytest.fixture
+def low_skew_limits(spark):
+    """Run-time limits small enough for a test table, and no broadcast."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.fixture(scope="module")
+def crowded(spark, tmp_path_factory):
+    """Driver tables in which one establishment holds a third of the periods."""
+    root, source = tmp_path_factory.mktemp("crowded"), "/root/testdata/sf0.01"
+    orders = spark.read.parquet(f"{source}/orders.parquet")
+    crowd = F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey"))
+    orders.withColumn("o_custkey", crowd).repartition(8).write.parquet(f"{root}/orders.parquet")
+    for table in ("customer", "nation"):
+        spark.read.parquet(f"{source}/{table}.parquet").write.parquet(f"{root}/{table}.parquet")
+    return str(root)
+
+
+SPLIT = ["scan_all_history", "stock_history_left", "stg_periodes", "normalize_members"]
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_crowded_joins_are_split(spark, crowded, low_skew_limits, name):
+    query = registry.queries().get(name) or (lambda s, sf: registry._retained(s, sf))
+    out = query(spark, crowded)
+    n = len(out.collect())
+    assert "skew=true" in plan(out) or "isSkew" in plan(out)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert query(spark, crowded).count() == n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(registry.queries()[name](spark, SF))

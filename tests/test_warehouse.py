@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from periodica.__main__ import arguments, main
 from periodica.operators import dims, quality
 from periodica.operators.integrity import IntegrityError, integrity_report
 from periodica.operators.joins import commune_sample, stock_with_history
@@ -265,3 +266,46 @@ def test_chunks_equal_one_build(spark, register, tmp_path):
     # no new file: nothing happens
     load_chunks(spark, register[1], stock, root, as_of=AS_OF)
     assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(spark, register)
+
+
+def test_jobs(spark, register, tmp_path):
+    stock, history = register
+    paths = ["--stock", stock, "--history", history]
+    root, out = str(tmp_path / "w"), str(tmp_path / "out")
+    main(["build", "--country", *paths, "--warehouse", root, "--as-of", "2026-01-01"])
+    siret = Warehouse(spark, root).read(FACT).first()["siret"]
+    years = ["--past", "1998-01-01", "--years", "1995", "2001"]
+    main(["analyse", "--warehouse", root, "--out", out, "--siret", siret, *years])
+    queries = registry.queries()
+    for name in queries:
+        if name.startswith("q") and name[1].isdigit() and name != "q08_entity":
+            assert rows(spark.read.parquet(f"{out}/{name}")) == rows(queries[name](spark, SF)), name
+    versions = Warehouse(spark, root).read(FACT).filter(F.col("siret") == siret).count()
+    assert spark.read.parquet(f"{out}/q08_entity").count() == versions
+    commune = Warehouse(spark, root).read(FACT).first()["code_commune"]
+    main(["sample", commune, *paths, "--out", f"{out}/sample"])
+    sample = spark.read.parquet(f"{out}/sample")
+    assert sample.columns == PERIODES.names
+    assert {r["code_commune"] for r in sample.collect()} == {commune}
+
+
+def test_default_department():
+    args = arguments(["build", "--stock", "s", "--history", "h", "--warehouse", "w"])
+    assert args.departements == ["69"]
+
+
+def test_questions_in_sql(spark, register, tmp_path):
+    root = str(tmp_path / "w")
+    build_warehouse(spark, *register, root, as_of=AS_OF)
+    Warehouse(spark, root).register_views()
+    per_year = spark.sql(
+        """SELECT EXTRACT(YEAR FROM d)::INTEGER AS annee, count(*) AS nb_creations
+           FROM (SELECT siret, min(valid_from) AS d FROM fait_etablissement_version GROUP BY siret)
+           WHERE EXTRACT(YEAR FROM d) BETWEEN 1995 AND 2001 GROUP BY annee ORDER BY annee"""
+    )
+    assert [tuple(r) for r in per_year.collect()] == [(1995, 103), (1996, 27), (1997, 2), (1998, 2)]
+    labels = spark.sql(
+        """SELECT count(DISTINCT libelle_commune) FROM fait_etablissement_version f
+           JOIN dim_commune d ON f.code_commune = d.code_commune WHERE is_current"""
+    )
+    assert labels.first()[0] > 0
