@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.functions.members import normalize_history, normalize_stock
@@ -68,14 +68,17 @@ def build_warehouse(
     warehouse.insert("dim_date", dim_date(dims_history))
 
     fact = scd2_versions(periods, stock, **options)
-    if departements is not None:
-        # versions outside the departments stay, but for establishments that moved into them
-        inside = F.coalesce(in_departements("code_commune", departements), F.lit(False))
-        others = warehouse.read(FACT).filter(~inside)
-        others = others.join(stock.select("siret"), "siret", "left_anti")
-        fact = others.select(fact.columns).unionByName(fact)
-    if warehouse.publish(FACT, fact) == 0:
-        print("no version to publish")
+    if departements is None:
+        if warehouse.publish(FACT, fact) == 0:
+            print("no version to publish")
+    elif options.get("default_members"):
+        # the unknown commune belongs to no single run, so its department cannot be replaced
+        outside = warehouse.read(FACT).filter(~_inside(departements))
+        others = outside.join(stock.select("siret"), "siret", "left_anti")
+        warehouse.publish(FACT, others.select(fact.columns).unionByName(fact))
+    else:
+        warehouse.replace_departements(fact)
+        _drop_misplaced(warehouse, stock, departements)
 
     tables = warehouse.tables()
     if fail_on_violation:
@@ -83,6 +86,24 @@ def build_warehouse(
     return run_metrics(stock, retained, tables["dim_commune"], tables[FACT], departements)
 
 
+def _inside(departements: list[str]) -> Column:
+    return F.coalesce(in_departements("code_commune", departements), F.lit(False))
+
+
+def _drop_misplaced(warehouse: Warehouse, stock: DataFrame, departements: list[str]) -> None:
+    """After a run of some departments: drop the versions that it could not replace.
+
+    These are versions of establishments no longer retained, in a department that has become empty,
+    and old versions of establishments that moved into one of the departments from elsewhere. Both
+    are rare; only where there are some the table is written again.
+    """
+    retained = stock.select("siret", F.lit(True).alias("retained"))
+    flagged = warehouse.read(FACT).join(retained, "siret", "left")
+    misplaced = _inside(departements) != F.coalesce("retained", F.lit(False))
+    if not flagged.filter(misplaced).isEmpty():
+        warehouse.publish(FACT, flagged.filter(~misplaced), allow_empty=True)
+
+
 def merge_month(
     warehouse: Warehouse,
     loaded: DataFrame,

@@ -25,21 +25,21 @@ def with_departement(fact: DataFrame) -> DataFrame:
     return fact.withColumn("code_departement", departement_of("code_commune"))
 
 
-def write_fact(fact: DataFrame, path: str) -> str:
-    """Write versions by department; a rerun replaces the departments it contains.
+def by_departement(fact: DataFrame) -> DataFrame:
+    """Versions laid out for a write by department.
 
     `rebalance` brings a department together but splits one that is too large for a task, and the
     order by siret lets a lookup skip row groups.
     """
-    (
-        with_departement(fact)
-        .hint("rebalance", "code_departement")
-        .sortWithinPartitions("code_departement", "siret", "valid_from")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("code_departement")
-        .parquet(path)
-    )
+    rows = with_departement(fact).hint("rebalance", "code_departement")
+    return rows.sortWithinPartitions("code_departement", "siret", "valid_from")
+
+
+def write_fact(fact: DataFrame, path: str) -> str:
+    """Write versions by department; a rerun replaces the departments it contains."""
+    by_departement(fact).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("code_departement").parquet(path)
     return path
 
 
@@ -73,19 +73,17 @@ class Warehouse:
     def _path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v{version:06d}"
 
-    def _write(self, table: str, df: DataFrame, path: str, mode: str) -> None:
+    def _write(
+        self, table: str, df: DataFrame, path: str, mode: str, overwrite: str = "static"
+    ) -> None:
         columns = [f.name for f in TABLES[table].fields]
         partition = PARTITION_COLUMN.get(table)
         if partition is None:
             df.select(columns).write.mode(mode).parquet(path)
             return
-        rows = with_departement(df.select(columns))
-        rows = rows.hint("rebalance", partition).sortWithinPartitions(
-            partition, *PRIMARY_KEYS[table]
-        )
-        rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(
-            partition
-        ).parquet(path)
+        by_departement(df.select(columns)).write.mode(mode).option(
+            "partitionOverwriteMode", overwrite
+        ).partitionBy(partition).parquet(path)
 
     def _announce(self, table: str, version: int, rows: int) -> None:
         line = self.spark.createDataFrame([(table, version, rows)], PUBLISHED)
@@ -125,6 +123,14 @@ class Warehouse:
             self._announce(table, version, rows)
         return rows
 
+    def replace_departements(self, fact: DataFrame) -> None:
+        """Replace the departments that occur in `fact`, in the published directory.
+
+        `fact` must not be read from the warehouse. An establishment is in one department, so a
+        run that stops between two departments leaves each of them whole, old or new.
+        """
+        self._write(FACT, fact, self._path(FACT, self._versions()[FACT]), "overwrite", "dynamic")
+
     def insert(
         self, table: str, batch: DataFrame, order: Sequence[Column | str] | None = None
     ) -> None:

@@ -255,6 +255,45 @@ def test_opted_out_entity_leaves(spark, register, tmp_path):
     assert not warehouse.read(FACT).isEmpty()
 
 
+def test_moved_and_emptied(spark, register, tmp_path):
+    """One establishment moves from 69 to 70, then nobody is left to publish in 69."""
+    root = str(tmp_path / "w")
+    build_warehouse(spark, *register, root, ["69", "70"], as_of=AS_OF)
+    warehouse = Warehouse(spark, root)
+    mover = warehouse.read(FACT).filter("code_departement = '69'").first()["siret"]
+    source = spark.read.parquet(register[0])
+    commune, status = "codeCommuneEtablissement", "statutDiffusionEtablissement"
+    moved = source.withColumn(
+        commune, F.when(F.col("siret") == mover, "70001").otherwise(F.col(commune))
+    )
+    moved.write.parquet(f"{tmp_path}/moved")
+    moved.withColumn(
+        status, F.when(F.col(commune).startswith("69"), "P").otherwise(F.col(status))
+    ).write.parquet(f"{tmp_path}/emptied")
+    build_warehouse(spark, f"{tmp_path}/moved", register[1], root, ["70"], as_of=AS_OF)
+    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(
+        spark, (f"{tmp_path}/moved", register[1]), ["69", "70"]
+    )
+    build_warehouse(spark, f"{tmp_path}/emptied", register[1], root, ["69"], as_of=AS_OF)
+    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(
+        spark, (f"{tmp_path}/emptied", register[1]), ["70"]
+    )
+
+
+def test_unknown_communes_of_several_runs(spark, register, tmp_path):
+    root, commune = str(tmp_path / "w"), F.col("codeCommuneEtablissement")
+    short = spark.read.parquet(register[0]).withColumn(
+        "codeCommuneEtablissement",
+        F.when(commune.substr(1, 2).isin("69", "70"), commune.substr(1, 4)).otherwise(commune),
+    )
+    short.write.parquet(f"{tmp_path}/stock")
+    paths = (f"{tmp_path}/stock", register[1])
+    for departement in ("69", "70", "71", "70"):
+        build_warehouse(spark, *paths, root, [departement], rules="shipped_b", as_of=AS_OF)
+    expected = expected_fact(spark, paths, ["69", "70", "71"], rules="shipped_b")
+    assert rows(Warehouse(spark, root).read(FACT), *FACT_COLUMNS) == expected
+
+
 def test_chunks_equal_one_build(spark, register, tmp_path):
     stock = scan_stock(spark, register[0])
     root = str(tmp_path / "w")
