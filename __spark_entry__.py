@@ -130,7 +130,8 @@ def raw_key_report(spark, sf):
 def run_metrics(spark, sf):
     stock, history = _stock(spark, sf), derived.history(spark, sf, with_end=False)
     retained = joins.restrict_history(history, stock)
-    return metrics(stock, retained, dims.dim_commune(stock), scd2_versions(history, stock))
+    profile, fact = dims.period_profile(retained), scd2_versions(history, stock)
+    return metrics(stock, profile, dims.dim_commune(stock), fact)
 
 
 def q03(spark, sf):

@@ -16,6 +16,17 @@ from periodica.functions.territory import departement_of
 from periodica.operators.keys import first_per_key
 
 
+def period_profile(history: DataFrame) -> DataFrame:
+    """Number of periods (`nb`) per activity, nomenclature and start date.
+
+    Enough for the activity and date dimensions and for the period counts of a run, and small: one
+    pass over the history serves them all.
+    """
+    return history.groupBy("code_ape", "nomenclature_ape", "date_debut").agg(
+        F.count("*").alias("nb")
+    )
+
+
 def dim_activite(history: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """One nomenclature per activity code: the one seen last up to `as_of`, then the greatest."""
     seen = F.when(F.col("date_debut") <= today(as_of), F.col("date_debut"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodica.functions.territory import in_departements
@@ -17,10 +17,17 @@ def _metrics(df: DataFrame, **counts) -> DataFrame:
     return totals.select(F.inline(F.array(*pairs)))
 
 
+def _total(column: Column) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0).cast("long"))
+
+
 def run_metrics(
-    stock: DataFrame, history: DataFrame, dim_commune: DataFrame, fact: DataFrame, departements=None
+    stock: DataFrame, periods: DataFrame, dim_commune: DataFrame, fact: DataFrame, departements=None
 ) -> DataFrame:
-    """Rows (`metric`, `value`): establishments, periods, communes and versions of the run."""
+    """Rows (`metric`, `value`): establishments, periods, communes and versions of the run.
+
+    `periods` is a `dims.period_profile`.
+    """
     if departements is not None:
         test = in_departements("code_commune", departements)
         dim_commune, fact = dim_commune.filter(test), fact.filter(test)
@@ -28,7 +35,9 @@ def run_metrics(
     parts = [
         _metrics(stock, siret_stock=rows),
         _metrics(
-            history, periodes=rows, periodes_sans_debut=F.count_if(F.col("date_debut").isNull())
+            periods,
+            periodes=_total(F.col("nb")),
+            periodes_sans_debut=_total(F.when(F.col("date_debut").isNull(), F.col("nb"))),
         ),
         _metrics(dim_commune, communes=rows),
         _metrics(fact, versions=rows, versions_courantes=F.count_if("is_current")),

@@ -178,6 +178,8 @@ def scd2_merge(
     history inside its scan, more are joined after the periods are reduced.
     """
     key = rules.get("key", "siret")
+    if rules.get("default_members"):
+        stock = normalize_stock(stock)
     touched = batch.select(key).distinct()
     kept = with_stock(versions.join(touched, key, "left_anti"), stock, key)
     periods = loaded.unionByName(batch, allowMissingColumns=True)

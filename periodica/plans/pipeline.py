@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from periodica.functions.members import normalize_history, normalize_stock
 from periodica.functions.territory import in_departements
-from periodica.operators.dims import dim_activite, dim_commune, dim_date
+from periodica.operators.dims import dim_activite, dim_commune, dim_date, period_profile
 from periodica.operators.integrity import integrity_report
 from periodica.operators.joins import (
     BROADCAST_KEYS,
@@ -55,17 +55,11 @@ def build_warehouse(
         retained, periods = restrict_history(history, stock), history
 
     options = preset(rules, as_of)
-    if options.get("default_members"):
-        dims_stock, dims_history = normalize_stock(stock), normalize_history(retained)
-    else:
-        dims_stock, dims_history = stock, retained
-
     warehouse = Warehouse(spark, root)
     warehouse.create_schema()
-    warehouse.insert("dim_activite", dim_activite(dims_history, as_of))
     warehouse.insert("dim_tranche_effectifs", headcount_bands(spark))
-    warehouse.insert("dim_commune", dim_commune(dims_stock))
-    warehouse.insert("dim_date", dim_date(dims_history))
+    profile = period_profile(retained).persist()
+    _insert_dims(warehouse, stock, profile, options, as_of)
 
     fact = scd2_versions(periods, stock, **options)
     if departements is None:
@@ -83,7 +77,20 @@ def build_warehouse(
     tables = warehouse.tables()
     if fail_on_violation:
         integrity_report(tables, fail_on_violation=True)
-    return run_metrics(stock, retained, tables["dim_commune"], tables[FACT], departements)
+    metrics = run_metrics(stock, profile, tables["dim_commune"], tables[FACT], departements)
+    counted = spark.createDataFrame(metrics.collect(), metrics.schema)
+    profile.unpersist()
+    return counted
+
+
+def _insert_dims(
+    warehouse: Warehouse, stock: DataFrame, profile: DataFrame, options: dict, as_of: dt.date
+) -> None:
+    if options.get("default_members"):
+        stock, profile = normalize_stock(stock), normalize_history(profile)
+    warehouse.insert("dim_activite", dim_activite(profile, as_of))
+    warehouse.insert("dim_commune", dim_commune(stock))
+    warehouse.insert("dim_date", dim_date(profile))
 
 
 def _inside(departements: list[str]) -> Column:
@@ -115,8 +122,9 @@ def merge_month(
 ) -> int:
     """Bring new periods into a published warehouse; returns the number of versions."""
     as_of = as_of or dt.date.today()
-    warehouse.insert("dim_activite", dim_activite(restrict_history(batch, stock), as_of))
-    warehouse.insert("dim_commune", dim_commune(stock))
-    warehouse.insert("dim_date", dim_date(restrict_history(batch, stock)))
-    fact = scd2_merge(warehouse.read(FACT), loaded, batch, stock, **preset(rules, as_of))
+    options = preset(rules, as_of)
+    profile = period_profile(restrict_history(batch, stock)).persist()
+    _insert_dims(warehouse, stock, profile, options, as_of)
+    profile.unpersist()
+    fact = scd2_merge(warehouse.read(FACT), loaded, batch, stock, **options)
     return warehouse.publish(FACT, fact)

@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodica.functions.members import normalize_history, normalize_stock
-from periodica.operators.scd2 import preset
 from periodica.plans.pipeline import merge_month
 from periodica.plans.warehouse import Warehouse
 from periodica.schemas import HISTORY_NAMES, HISTORY_SOURCE
@@ -43,11 +41,6 @@ def load_chunks(
     checkpoint: str | None = None,
 ) -> Warehouse:
     """Load the files not loaded yet into the warehouse at `root`."""
-    as_of = as_of or dt.date.today()
-    if preset(rules, as_of).get("default_members"):
-        stock, prepare = normalize_stock(stock), normalize_history
-    else:
-        prepare = lambda periods: periods
     warehouse = Warehouse(spark, root)
     warehouse.create_schema()
     warehouse.insert("dim_tranche_effectifs", headcount_bands(spark))
@@ -60,8 +53,8 @@ def load_chunks(
         batch = periods.filter(F.col("chunk") == number).drop("chunk")
         merge_month(
             warehouse,
-            prepare(short_names(loaded, HISTORY_NAMES)),
-            prepare(short_names(batch, HISTORY_NAMES)),
+            short_names(loaded, HISTORY_NAMES),
+            short_names(batch, HISTORY_NAMES),
             stock,
             rules=rules,
             as_of=as_of,

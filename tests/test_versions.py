@@ -216,6 +216,18 @@ def test_merge_equals_full_build(spark, seed, broadcast_keys):
     assert versions_of(merged, *ALL) == expected
 
 
+def test_merge_keeps_default_members(spark):
+    history = history_of(spark, [("a", "2016", None, "", "A"), ("b", "2016", None, "X", "A")])
+    batch = history_of(spark, [("b", "2017", None, "Y", "A")])
+    stock = spark.createDataFrame([("a", "69", "L", "ZZ"), ("b", "69", "L", None)], STOCK)
+    rules = preset("shipped_b", AS_OF)
+    merged = scd2_merge(scd2_versions(history, stock, **rules), history, batch, stock, **rules)
+    full = scd2_versions(history.union(batch), stock, **rules)
+    columns = (*ALL, "code_commune", "code_tranche")
+    assert versions_of(merged, *columns) == versions_of(full, *columns)
+    assert {r["code_tranche"] for r in merged.collect()} == {"NN"}
+
+
 def test_snapshot(spark):
     at = day("2020")
     rows = [

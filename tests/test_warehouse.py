@@ -294,17 +294,33 @@ def test_unknown_communes_of_several_runs(spark, register, tmp_path):
     assert rows(Warehouse(spark, root).read(FACT), *FACT_COLUMNS) == expected
 
 
-def test_chunks_equal_one_build(spark, register, tmp_path):
+@pytest.mark.parametrize("rules", ["decided", "shipped_b"])
+def test_chunks_equal_one_build(spark, register, tmp_path, rules):
     stock = scan_stock(spark, register[0])
     root = str(tmp_path / "w")
-    warehouse = load_chunks(spark, register[1], stock, root, as_of=AS_OF)
+    warehouse = load_chunks(
+        spark,
+        register[1],
+        stock,
+        root,
+        rules=rules,
+        as_of=AS_OF,
+        checkpoint=str(tmp_path / "checkpoint"),
+    )
     assert spark.read.parquet(f"{root}/_periods").select("chunk").distinct().count() > 1
-    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(spark, register)
+    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(
+        spark, register, rules=rules
+    )
     dates = dims.dim_date(scan_history(spark, register[1]).join(stock, "siret", "left_semi"))
     assert rows(warehouse.read("dim_date")) == rows(dates)
-    # no new file: nothing happens
-    load_chunks(spark, register[1], stock, root, as_of=AS_OF)
-    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(spark, register)
+
+
+def test_chunks_again(spark, register, tmp_path):
+    """The checkpoint lies in the shared folder; without a new file nothing happens."""
+    stock, root = scan_stock(spark, register[0]), str(tmp_path / "w")
+    for _ in range(2):
+        warehouse = load_chunks(spark, register[1], stock, root, files_per_chunk=9, as_of=AS_OF)
+        assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(spark, register)
 
 
 def test_jobs(spark, register, tmp_path):
