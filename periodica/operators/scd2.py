@@ -4,6 +4,7 @@ Plan: two shuffles of the history, whatever the number of rows of one establishm
 
 1. One row per (siret, start date). Crowded keys are cut inside the map tasks, see `first_per_key`.
    After this an establishment has at most one row per calendar day, which bounds the windows below.
+   A source known to have unique starts needs no such step, and a single shuffle.
 2. Shuffle on siret, one sort; `lag` finds the run starts, `lead` closes each run. Joining the stock
    on siret keeps that partitioning and order.
 """
@@ -77,14 +78,17 @@ def dated_periods(
     tracked: Sequence[str] = ("code_ape", "etat"),
     tie_break: Sequence[str] = ("seq",),
     carry: Sequence[str] = (),
+    unique_starts: bool = False,
 ) -> DataFrame:
     """One period per (key, start); the tie-break columns choose it. NULL starts are left out,
     `quality.undated_periods` lists them."""
-    kept = history.filter(F.col(start).isNotNull() & F.col(key).isNotNull()).select(
-        key, start, *tracked, *carry, *[c for c in tie_break if c not in (key, start)]
-    )
+    dated = history.filter(F.col(start).isNotNull() & F.col(key).isNotNull())
+    if unique_starts:
+        return dated.select(key, start, *tracked, *carry)
+    ties = [c for c in tie_break if c not in (key, start, *tracked, *carry)]
+    kept = dated.select(key, start, *tracked, *carry, *ties)
     order = [F.asc_nulls_last(c) for c in (*tie_break, *tracked, *carry)]
-    return first_per_key(kept, [key, start], order).drop(*tie_break)
+    return first_per_key(kept, [key, start], order).drop(*ties)
 
 
 def scd2_versions(
@@ -103,12 +107,15 @@ def scd2_versions(
     current_mode: str = "last_version",
     default_members: bool = False,
     only: DataFrame | None = None,
+    unique_starts: bool = False,
 ) -> DataFrame:
     """Version fact: a new version opens when a tracked column changes within an establishment.
 
     `stock` gives the current commune and band of the retained establishments; other establishments
     drop out. `tie_break` orders periods with the same start (`seq` where the history has it).
     `only` (distinct keys) limits the work to some establishments, after step 1.
+    `unique_starts` promises that no two periods of an establishment start on the same day; step 1
+    and its shuffle are then left out. `integrity.duplicate_keys` checks the promise.
     """
     if end_mode not in END_MODES or current_mode not in CURRENT_MODES:
         raise ValueError(f"unknown mode {end_mode!r} / {current_mode!r}")
@@ -127,6 +134,7 @@ def scd2_versions(
         tracked=tracked,
         tie_break=tie_break,
         carry=(end,) if needs_end else (),
+        unique_starts=unique_starts,
     )
     if only is not None:
         periods = periods.join(only, key)

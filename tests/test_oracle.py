@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin."""
 
 import datetime as dt
+import os
 from collections import Counter
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as registry
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["customer", "nation", "orders"]
 
 

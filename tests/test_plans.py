@@ -1,18 +1,23 @@
 """Shape of the physical plans: what is pushed to the scan, what is shuffled, what stays out."""
 
+import datetime as dt
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from periodica.operators.keys import first_per_key
 from periodica.operators.scd2 import scd2_versions
 from periodica.plans import analyses
 from periodica.plans.models import materialize
+from periodica.plans.warehouse import read_fact, write_fact
 from periodica.schemas import HISTORY_SOURCE, STOCK_SOURCE
 from periodica.sources.register import scan_history, scan_stock
 
 SF = "/root/testdata/sf0.001"
+PAST = dt.date(1998, 1, 1)
 
 
 def plan(df):
@@ -61,6 +66,30 @@ def test_versions_plan(spark, register):
     assert "dateFin" not in text
 
 
+def test_unique_starts_need_one_shuffle(spark, register):
+    stock, history = scan_stock(spark, register[0]), scan_history(spark, register[1])
+    order = ["date_fin", "etat", "code_ape", "nomenclature_ape"]
+    unique = first_per_key(history, ["siret", "date_debut"], order)
+    expected = scd2_versions(unique, stock).collect()
+    assert Counter(scd2_versions(unique, stock, unique_starts=True).collect()) == Counter(expected)
+    text = plan(scd2_versions(history, stock, unique_starts=True))
+    assert [keys(s) for s in shuffles(text)] == ["siret, 8"]
+    assert text.count("Sort [") == 1
+
+
+def test_questions_push_to_the_stored_fact(spark, tmp_path):
+    path = write_fact(registry._fact(spark, SF), str(tmp_path / "fact"))
+    fact = read_fact(spark, path)
+    current = plan(analyses.active_now(fact))
+    assert "EqualTo(is_current,true)" in current and "EqualTo(etat,A)" in current
+    assert "ReadSchema: struct<is_current:boolean,etat:string>" in current
+    past = plan(analyses.active_on(fact, PAST))
+    assert "LessThanOrEqual(valid_from,1998-01-01)" in past
+    assert "EqualTo(siret,00000000000042)" in plan(analyses.entity_history(fact, "00000000000042"))
+    one = plan(fact.filter("code_departement = '69'"))
+    assert re.search(r"PartitionFilters: \[[^]]*code_departement[^]]*= 69", one)
+
+
 def test_versions_with_a_large_stock(spark, register):
     """Without broadcast: one more shuffle, of the stock; the versions keep their partitioning."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
