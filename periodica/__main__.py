@@ -34,6 +34,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--rules", choices=["decided", "shipped_a", "shipped_b"], default="decided"
     )
     build.add_argument("--as-of", type=dt.date.fromisoformat)
+    build.add_argument("--unique-starts", action="store_true", help="source key (siret, start)")
     build.add_argument("--fail-on-violation", action="store_true")
     sample = jobs.add_parser("sample")
     sample.add_argument("commune")
@@ -64,6 +65,7 @@ def main(argv: list[str] | None = None) -> None:
             departements,
             rules=args.rules,
             as_of=args.as_of,
+            unique_starts=args.unique_starts,
             fail_on_violation=args.fail_on_violation,
         ).show(truncate=False)
     elif args.job == "sample":

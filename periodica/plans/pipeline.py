@@ -34,12 +34,14 @@ def build_warehouse(
     rules: str = "decided",
     as_of: dt.date | None = None,
     broadcast_keys: int = BROADCAST_KEYS,
+    unique_starts: bool = False,
     fail_on_violation: bool = False,
 ) -> DataFrame:
     """Scan, filter, dimensions, versions, publish; returns the run metrics.
 
     Dimensions are loaded first and only gain rows. The versions of a run replace those of its
     departments; other departments keep theirs, so a region is one run or several.
+    `unique_starts`: see `scd2_versions`; for a source whose key is (siret, start).
     """
     as_of = as_of or dt.date.today()
     departements = None if departements is None else list(departements)
@@ -61,7 +63,7 @@ def build_warehouse(
     profile = period_profile(retained).persist()
     _insert_dims(warehouse, stock, profile, options, as_of)
 
-    fact = scd2_versions(periods, stock, **options)
+    fact = scd2_versions(periods, stock, unique_starts=unique_starts, **options)
     if departements is None:
         if warehouse.publish(FACT, fact) == 0:
             print("no version to publish")

@@ -181,3 +181,10 @@ def test_bucketed_fact_needs_no_shuffle_on_siret(spark):
     text = plan(analyses.closures_per_year(fact))
     assert not any(s.startswith("siret") for s in shuffles(text))
     assert analyses.closures_per_year(fact, 1995, 2001).agg(F.sum("nb_fermetures")).first()[0] == 252
+
+
+def test_a_large_department_is_split(spark, crowded, low_skew_limits, tmp_path):
+    fact = registry._fact(spark, crowded).withColumn("code_commune", F.lit("69123"))
+    path = write_fact(fact, str(tmp_path / "fact"))
+    assert len(list((tmp_path / "fact" / "code_departement=69").glob("*.parquet"))) > 1
+    assert read_fact(spark, path).count() == fact.count()
