@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from periodica.functions.territory import DEFAULT_DEPARTEMENT, departement_argument
 from periodica.operators.joins import commune_sample
 from periodica.plans.analyses import PAST, YEARS, all_questions
-from periodica.plans.pipeline import build_warehouse
+from periodica.plans.build import build_warehouse
 from periodica.plans.warehouse import Warehouse
 from periodica.schemas import STOCK_NAMES, STOCK_SOURCE
 from periodica.sources.register import scan_history, short_names

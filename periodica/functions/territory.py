@@ -9,11 +9,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_DEPARTEMENT = "69"
+OVERSEAS = ("97", "98")
 
 
 def departement_argument(value: str | None = None) -> str:
-    """Department code from a job argument: upper case, padded to two characters."""
-    return (value or DEFAULT_DEPARTEMENT).upper().zfill(2)
+    """Department code from a job argument: upper case, padded to two characters.
+
+    Overseas departments may be given by three; two select all that begin with them.
+    """
+    code = (value or DEFAULT_DEPARTEMENT).upper().zfill(2)
+    if len(code) != 2 and not (len(code) == 3 and code[:2] in OVERSEAS):
+        raise ValueError(f"{value!r} is no department")
+    return code
 
 
 def departement_of(code: Column | str, overseas: bool = False) -> Column:
@@ -22,7 +29,7 @@ def departement_of(code: Column | str, overseas: bool = False) -> Column:
     two = F.substring(code, 1, 2)
     if not overseas:
         return two
-    return F.when(two.isin("97", "98"), F.substring(code, 1, 3)).otherwise(two)
+    return F.when(two.isin(*OVERSEAS), F.substring(code, 1, 3)).otherwise(two)
 
 
 def in_departements(code: Column | str, departements: Iterable[str]) -> Column:

@@ -84,7 +84,9 @@ def column_rules(df: DataFrame, table: str) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
-                F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), F.col(f"n{i}").alias("nb")
+                F.lit(rule).alias("rule"),
+                F.lit(column).alias("column_name"),
+                F.col(f"n{i}").alias("nb"),
             )
             for i, (rule, column, _) in enumerate(checks)
         ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,7 @@ def build_warehouse(
     Dimensions are loaded first and only gain rows. The versions of a run replace those of its
     departments; other departments keep theirs, so a region is one run or several.
     `unique_starts`: see `scd2_versions`; for a source whose key is (siret, start).
+    `fail_on_violation` checks keys and references before the versions are published.
     """
     as_of = as_of or dt.date.today()
     departements = None if departements is None else list(departements)
@@ -64,21 +65,22 @@ def build_warehouse(
     _insert_dims(warehouse, stock, profile, options, as_of)
 
     fact = scd2_versions(periods, stock, unique_starts=unique_starts, **options)
+    verify = _strict(warehouse) if fail_on_violation else None
     if departements is None:
-        if warehouse.publish(FACT, fact) == 0:
+        if warehouse.publish(FACT, fact, verify=verify) == 0:
             print("no version to publish")
-    elif options.get("default_members"):
-        # the unknown commune belongs to no single run, so its department cannot be replaced
+    elif fail_on_violation or options.get("default_members"):
+        # A whole new table: it can be verified before it is published, and the department of the
+        # unknown commune, which belongs to no single run, cannot be replaced.
         outside = warehouse.read(FACT).filter(~_inside(departements))
         others = outside.join(stock.select("siret"), "siret", "left_anti")
-        warehouse.publish(FACT, others.select(fact.columns).unionByName(fact))
+        whole = others.select(fact.columns).unionByName(fact)
+        warehouse.publish(FACT, whole, allow_empty=True, verify=verify)
     else:
         warehouse.replace_departements(fact)
         _drop_misplaced(warehouse, stock, departements)
 
     tables = warehouse.tables()
-    if fail_on_violation:
-        integrity_report(tables, fail_on_violation=True)
     metrics = run_metrics(stock, profile, tables["dim_commune"], tables[FACT], departements)
     counted = spark.createDataFrame(metrics.collect(), metrics.schema)
     profile.unpersist()
@@ -95,6 +97,13 @@ def _insert_dims(
     warehouse.insert("dim_date", dim_date(profile))
 
 
+def _strict(warehouse: Warehouse) -> Callable[[DataFrame], None]:
+    def verify(fact: DataFrame) -> None:
+        integrity_report({**warehouse.tables(), FACT: fact}, fail_on_violation=True)
+
+    return verify
+
+
 def _inside(departements: list[str]) -> Column:
     return F.coalesce(in_departements("code_commune", departements), F.lit(False))
 

@@ -7,7 +7,7 @@ One writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +22,8 @@ PUBLISHED = "table_name string, version int, row_count long"
 
 
 def with_departement(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("code_departement", departement_of("code_commune"))
+    """Overseas departments have three characters here, so that each has its own directory."""
+    return fact.withColumn("code_departement", departement_of("code_commune", overseas=True))
 
 
 def by_departement(fact: DataFrame) -> DataFrame:
@@ -112,13 +113,25 @@ class Warehouse:
         for table, df in self.tables().items():
             df.createOrReplaceTempView(table)
 
-    def publish(self, table: str, df: DataFrame, allow_empty: bool = False) -> int:
-        """Replace a table; returns its number of rows. With no rows nothing is published."""
+    def publish(
+        self,
+        table: str,
+        df: DataFrame,
+        allow_empty: bool = False,
+        verify: Callable[[DataFrame], None] | None = None,
+    ) -> int:
+        """Replace a table; returns its number of rows. With no rows nothing is published.
+
+        `verify` gets the written rows and stops the publication by raising.
+        """
         version = self._versions().get(table, -1) + 1
         path = self._path(table, version)
         # an unpublished leftover of a failed run may lie there
         self._write(table, df, path, "overwrite")
-        rows = self.spark.read.schema(stored_schema(table)).parquet(path).count()
+        written = self.spark.read.schema(stored_schema(table)).parquet(path)
+        rows = written.count()
+        if verify is not None:
+            verify(written)
         if rows or allow_empty:
             self._announce(table, version, rows)
         return rows

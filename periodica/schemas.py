@@ -71,7 +71,11 @@ HISTORY_NAMES = {
 }
 
 DIM_COMMUNE = T.StructType(
-    [_text("code_commune", False), _text("libelle_commune", False), _text("code_departement", False)]
+    [
+        _text("code_commune", False),
+        _text("libelle_commune", False),
+        _text("code_departement", False),
+    ]
 )
 DIM_ACTIVITE = T.StructType([_text("code_ape", False), _text("nomenclature", False)])
 DIM_DATE = T.StructType(

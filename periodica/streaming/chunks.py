@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodica.plans.pipeline import merge_month
+from periodica.plans.build import merge_month
 from periodica.plans.warehouse import Warehouse
 from periodica.schemas import HISTORY_NAMES, HISTORY_SOURCE
 from periodica.sources.register import headcount_bands, short_names

@@ -61,6 +61,11 @@ def test_department_argument(given, code):
     assert territory.departement_argument(given) == code
 
 
+def test_no_department():
+    with pytest.raises(ValueError):
+        territory.departement_argument("6938")
+
+
 def test_department_of(spark):
     codes = spark.createDataFrame([("69123",), ("97105",), ("2A004",)], "c string")
     assert values(codes.select(territory.departement_of("c").alias("d")), "d") == ["2A", "69", "97"]

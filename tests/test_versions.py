@@ -1,4 +1,4 @@
-"""Hand-made version cases, the three rule sets, and merges, checked against a plain-Python reading."""
+"""Hand-made version cases, the three rule sets, and merges, checked against plain Python."""
 
 import datetime as dt
 import random

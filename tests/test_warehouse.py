@@ -13,7 +13,7 @@ from periodica.operators.joins import commune_sample, stock_with_history
 from periodica.operators.keys import insert_if_absent
 from periodica.operators.scd2 import preset, scd2_versions
 from periodica.plans.models import MODELS, PERIODS_SOURCE, Run, materialize
-from periodica.plans.pipeline import build_warehouse
+from periodica.plans.build import build_warehouse
 from periodica.plans.warehouse import FACT, Warehouse, read_fact, write_fact
 from periodica.schemas import DIM_COMMUNE, HISTORY_SOURCE, PERIODES, STOCK_SOURCE, TABLES
 from periodica.sources import derived
@@ -280,6 +280,32 @@ def test_moved_and_emptied(spark, register, tmp_path):
     )
 
 
+def test_violation_stops_the_publication(spark, register, tmp_path):
+    root = str(tmp_path / "w")
+    build_warehouse(spark, *register, root, as_of=AS_OF)
+    before = rows(Warehouse(spark, root).read(FACT))
+    with pytest.raises(IntegrityError):
+        build_warehouse(spark, *register, root, ["69"], as_of=AS_OF, fail_on_violation=True)
+    assert rows(Warehouse(spark, root).read(FACT)) == before
+
+
+def test_overseas_departments(spark, register, tmp_path):
+    root, commune = str(tmp_path / "w"), F.col("codeCommuneEtablissement")
+    moved = spark.read.parquet(register[0]).withColumn(
+        "codeCommuneEtablissement",
+        F.when(commune.startswith("69"), "97105").when(commune.startswith("70"), "97209").otherwise(
+            commune
+        ),
+    )
+    moved.write.parquet(f"{tmp_path}/stock")
+    paths = (f"{tmp_path}/stock", register[1])
+    for departement in ("971", "972", "971"):
+        build_warehouse(spark, *paths, root, [departement], as_of=AS_OF)
+    stored = Warehouse(spark, root).read(FACT)
+    assert rows(stored, *FACT_COLUMNS) == expected_fact(spark, paths, ["97"])
+    assert rows(stored.select("code_departement").distinct()) == [("971",), ("972",)]
+
+
 def test_unknown_communes_of_several_runs(spark, register, tmp_path):
     root, commune = str(tmp_path / "w"), F.col("codeCommuneEtablissement")
     short = spark.read.parquet(register[0]).withColumn(
