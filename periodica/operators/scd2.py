@@ -25,6 +25,8 @@ from periodica.operators.joins import BROADCAST_KEYS, few_keys, restrict_history
 from periodica.operators.keys import first_per_key
 from periodica.schemas import FAIT
 
+# Values of a period in the fact; a version opens when one of them changes.
+ATTRIBUTES = ("code_ape", "etat")
 END_MODES = ("next_version", "first_period_end", "first_period_end_plus_1")
 CURRENT_MODES = ("last_version", "open_period")
 
@@ -56,39 +58,35 @@ def _state(tracked: Sequence[str]) -> Column:
     return F.struct(*[F.coalesce(c, F.lit(UNKNOWN)).alias(c) for c in tracked])
 
 
-def collapse_runs(
-    periods: DataFrame, key: str, start: str, tracked: Sequence[str]
-) -> DataFrame:
+def collapse_runs(periods: DataFrame, start: str, tracked: Sequence[str]) -> DataFrame:
     """First period of each run of equal tracked values, with the next run's start in `next_start`.
 
-    Expects one row per (key, start).
+    Expects one row per (siret, start).
     """
-    by_key = W.partitionBy(key).orderBy(start)
+    by_siret = W.partitionBy("siret").orderBy(start)
     state = _state(tracked)
-    changed = ~F.lag(state).over(by_key).eqNullSafe(state)
+    changed = ~F.lag(state).over(by_siret).eqNullSafe(state)
     runs = periods.withColumn("_changed", changed).filter("_changed").drop("_changed")
-    return runs.withColumn("next_start", F.lead(start).over(by_key))
+    return runs.withColumn("next_start", F.lead(start).over(by_siret))
 
 
 def dated_periods(
     history: DataFrame,
-    *,
-    key: str = "siret",
     start: str = "date_debut",
-    tracked: Sequence[str] = ("code_ape", "etat"),
-    tie_break: Sequence[str] = ("seq",),
-    carry: Sequence[str] = (),
+    values: Sequence[str] = ATTRIBUTES,
+    tie_break: Sequence[str] = (),
     unique_starts: bool = False,
 ) -> DataFrame:
-    """One period per (key, start); the tie-break columns choose it. NULL starts are left out,
-    `quality.undated_periods` lists them."""
-    dated = history.filter(F.col(start).isNotNull() & F.col(key).isNotNull())
+    """One period per (siret, start) with its values; the tie-break columns choose it, then the
+    values. NULL starts are left out, `quality.undated_periods` lists them."""
+    dated = history.filter(F.col(start).isNotNull() & F.col("siret").isNotNull())
+    columns = ["siret", start, *values]
     if unique_starts:
-        return dated.select(key, start, *tracked, *carry)
-    ties = [c for c in tie_break if c not in (key, start, *tracked, *carry)]
-    kept = dated.select(key, start, *tracked, *carry, *ties)
-    order = [F.asc_nulls_last(c) for c in (*tie_break, *tracked, *carry)]
-    return first_per_key(kept, [key, start], order).drop(*ties)
+        return dated.select(*columns)
+    order = [c for c in tie_break if c not in columns]
+    kept = dated.select(*columns, *order)
+    ranked = [F.asc_nulls_last(c) for c in (*tie_break, *values)]
+    return first_per_key(kept, ["siret", start], ranked).drop(*order)
 
 
 def scd2_versions(
@@ -98,7 +96,7 @@ def scd2_versions(
     key: str = "siret",
     start: str = "date_debut",
     end: str = "date_fin",
-    tracked: Sequence[str] = ("code_ape", "etat"),
+    tracked: Sequence[str] = ATTRIBUTES,
     tie_break: Sequence[str] | None = None,
     start_bounds: Bounds | None = None,
     end_bounds: Bounds | None = None,
@@ -119,51 +117,46 @@ def scd2_versions(
     """
     if end_mode not in END_MODES or current_mode not in CURRENT_MODES:
         raise ValueError(f"unknown mode {end_mode!r} / {current_mode!r}")
+    history = history.withColumnsRenamed({key: "siret", start: "date_debut", end: "date_fin"})
+    stock = stock.withColumnRenamed(key, "siret")
     if tie_break is None:
         tie_break = ("seq",) if "seq" in history.columns else ()
     if default_members:
         history, stock = normalize_history(history), normalize_stock(stock)
-    kept = plausible_dates(
-        history, start_bounds, end_bounds, keep_null_end=keep_null_end, start=start, end=end
-    )
-    needs_end = end_mode != "next_version" or current_mode == "open_period"
-    periods = dated_periods(
-        kept,
-        key=key,
-        start=start,
-        tracked=tracked,
-        tie_break=tie_break,
-        carry=(end,) if needs_end else (),
-        unique_starts=unique_starts,
-    )
+    kept = plausible_dates(history, start_bounds, end_bounds, keep_null_end=keep_null_end)
+
+    values = list(dict.fromkeys([*tracked, *ATTRIBUTES]))
+    if end_mode != "next_version" or current_mode == "open_period":
+        values.append("date_fin")
+    periods = dated_periods(kept, "date_debut", values, tie_break, unique_starts)
     if only is not None:
-        periods = periods.join(only, key)
-    runs = collapse_runs(periods, key, start, tracked)
+        periods = periods.join(only.withColumnRenamed(key, "siret"), "siret")
+    runs = collapse_runs(periods, "date_debut", tracked)
 
     if end_mode == "next_version":
         valid_to = F.col("next_start")
     elif end_mode == "first_period_end":
-        valid_to = F.col(end)
+        valid_to = F.col("date_fin")
     else:
-        valid_to = exclusive_end(end)
-    current = F.col("next_start") if current_mode == "last_version" else F.col(end)
+        valid_to = exclusive_end("date_fin")
+    current = F.col("next_start") if current_mode == "last_version" else F.col("date_fin")
 
     versions = runs.select(
-        key,
-        F.col(start).alias("valid_from"),
+        "siret",
+        F.col("date_debut").alias("valid_from"),
         valid_to.alias("valid_to"),
         current.isNull().alias("is_current"),
-        *tracked,
+        *ATTRIBUTES,
     )
-    return with_stock(versions, stock, key)
+    return with_stock(versions, stock)
 
 
-def with_stock(versions: DataFrame, stock: DataFrame, key: str = "siret") -> DataFrame:
+def with_stock(versions: DataFrame, stock: DataFrame) -> DataFrame:
     """Versions of the retained establishments with their current commune and band."""
     attributes = stock.select(
-        key, "code_commune", F.col("tranche_effectifs").alias("code_tranche")
+        "siret", "code_commune", F.col("tranche_effectifs").alias("code_tranche")
     )
-    joined = versions.drop("code_commune", "code_tranche").join(attributes, key)
+    joined = versions.drop("code_commune", "code_tranche").join(attributes, "siret")
     return joined.select(*[f.name for f in FAIT.fields])
 
 
@@ -185,11 +178,10 @@ def scd2_merge(
     Runs one count of the touched establishments: a few are sent to every executor and cut the
     history inside its scan, more are joined after the periods are reduced.
     """
-    key = rules.get("key", "siret")
     if rules.get("default_members"):
         stock = normalize_stock(stock)
-    touched = batch.select(key).distinct()
-    kept = with_stock(versions.join(touched, key, "left_anti"), stock, key)
+    touched = batch.select("siret").distinct()
+    kept = with_stock(versions.join(touched, "siret", "left_anti"), stock)
     periods = loaded.unionByName(batch, allowMissingColumns=True)
     if few_keys(touched, broadcast_keys):
         periods = restrict_history_by_broadcast(periods, touched)
@@ -206,25 +198,14 @@ def scd2_snapshot(versions: DataFrame, state: DataFrame, at: dt.date) -> DataFra
     are passed through without a shuffle; the version in force and any that start later are taken
     together with the observation. A version that already starts on `at` wins over it.
     """
-    key, tracked = "siret", ["code_ape", "etat"]
     ended = F.col("valid_to").isNotNull() & (F.col("valid_to") <= F.lit(at))
-    carry = ["code_commune", "code_tranche"]
-    live = versions.filter(~ended).select(
-        key, "valid_from", *tracked, *carry, F.lit(0).alias("source")
-    )
-    observed = state.select(
-        key, F.lit(at).alias("valid_from"), *tracked, *carry, F.lit(1).alias("source")
-    )
-    periods = dated_periods(
-        live.unionByName(observed),
-        start="valid_from",
-        tracked=tracked,
-        tie_break=("source",),
-        carry=carry,
-    )
-    runs = collapse_runs(periods, key, "valid_from", tracked)
+    values = [*ATTRIBUTES, "code_commune", "code_tranche"]
+    live = versions.filter(~ended).select("siret", "valid_from", *values, F.lit(0).alias("rank"))
+    observed = state.select("siret", F.lit(at).alias("valid_from"), *values, F.lit(1).alias("rank"))
+    periods = dated_periods(live.unionByName(observed), "valid_from", values, ["rank"])
+    runs = collapse_runs(periods, "valid_from", ATTRIBUTES)
     after = runs.select(
-        key,
+        "siret",
         "valid_from",
         F.col("next_start").alias("valid_to"),
         F.col("next_start").isNull().alias("is_current"),

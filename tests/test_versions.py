@@ -95,6 +95,22 @@ def test_tie_keeps_the_first_arrival(spark):
     assert versions_of(out, "code_ape") == [("X",)]
 
 
+def test_other_names_and_tracked_columns(spark):
+    rows = [("n", "2016", None, "X", "A"), ("n", "2017", None, "Y", "A"), ("n", "2018", None, "Y", "F")]
+    history = history_of(spark, rows).withColumnsRenamed(
+        {"siret": "id", "date_debut": "since", "date_fin": "until"}
+    )
+    stock = stock_of(spark, {"n"}).withColumnRenamed("siret", "id")
+    names = {"key": "id", "start": "since", "end": "until"}
+    out = scd2_versions(history, stock, **names)
+    assert versions_of(out, "siret", "valid_from") == [("n", day(y)) for y in ("2016", "2017", "2018")]
+    by_state = scd2_versions(history, stock, tracked=("etat",), **names)
+    assert versions_of(by_state, "valid_from", "valid_to", "code_ape") == [
+        (day("2016"), day("2018"), "X"),
+        (day("2018"), None, "Y"),
+    ]
+
+
 def test_attributes_come_from_the_stock(spark):
     rows, _ = CASES["close and reopen"]
     history = history_of(spark, rows + [("z", "2016", None, "X", "A")])
