@@ -7,23 +7,36 @@ from customer, nation and orders, and everything below runs on those. Dates are
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oracle import COMMUNE, DEPARTEMENT, FIRST_YEAR, LAST_YEAR, ORACLE, REGION, SIRET
-from periodica.functions.dates import OLDEST_PLAUSIBLE, Bounds
-from periodica.functions.members import normalize_history, normalize_stock
-from periodica.operators import dims, filters, integrity, joins, quality
-from periodica.operators.keys import insert_if_absent as absent_rows
-from periodica.operators.metrics import run_metrics as metrics
-from periodica.operators.scd2 import preset, scd2_merge, scd2_snapshot, scd2_versions
-from periodica.plans import analyses
-from periodica.plans.models import staged_periods
-from periodica.schemas import PRIMARY_KEYS
-from periodica.sources import derived
-from periodica.sources.register import headcount_bands, scope_stock
+# the driver may load this file by its path
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from oracle import (  # noqa: E402
+    COMMUNE,
+    DEPARTEMENT,
+    FIRST_YEAR,
+    LAST_YEAR,
+    ORACLE,
+    REGION,
+    SIRET,
+)
+from periodica.functions.dates import OLDEST_PLAUSIBLE, Bounds  # noqa: E402
+from periodica.functions.members import normalize_history, normalize_stock  # noqa: E402
+from periodica.operators import dims, filters, integrity, joins, quality  # noqa: E402
+from periodica.operators.keys import insert_if_absent as absent_rows  # noqa: E402
+from periodica.operators.metrics import run_metrics as metrics  # noqa: E402
+from periodica.operators.scd2 import preset, scd2_merge, scd2_snapshot, scd2_versions  # noqa: E402
+from periodica.plans import analyses  # noqa: E402
+from periodica.plans.models import staged_periods  # noqa: E402
+from periodica.schemas import PRIMARY_KEYS  # noqa: E402
+from periodica.sources import derived  # noqa: E402
+from periodica.sources.register import headcount_bands, scope_stock  # noqa: E402
 
 AS_OF = dt.date(2026, 1, 1)
 PAST = dt.date(1998, 1, 1)
