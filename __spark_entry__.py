@@ -7,6 +7,8 @@ from customer, nation and orders, and everything below runs on those. Dates are
 from __future__ import annotations
 
 import datetime as dt
+import importlib
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -43,6 +45,13 @@ PAST = dt.date(1998, 1, 1)
 FACT = "fait_etablissement_version"
 Query = Callable[[SparkSession, str], DataFrame]
 
+# the corpus operators and their pipeline may be absent; errors inside them are not hidden
+HAS_LLM = importlib.util.find_spec("periodica.llm") is not None
+HAS_LLM = HAS_LLM and importlib.util.find_spec("periodica.llm.registry") is not None
+LLM = importlib.import_module("periodica.llm.registry") if HAS_LLM else None
+HAS_PIPELINE = HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None
+PIPELINE = importlib.import_module("corpus_pipeline") if HAS_PIPELINE else None
+
 
 def _stock(spark: SparkSession, sf: str, departements: list[str] | None = None) -> DataFrame:
     return scope_stock(derived.stock(spark, sf), departements)
@@ -161,7 +170,7 @@ def queries() -> dict[str, Query]:
     def on_fact(question: Callable[..., DataFrame], *args) -> Query:
         return lambda spark, sf: question(_fact(spark, sf), *args)
 
-    return {
+    register: dict[str, Query] = {
         "scan_stock": lambda s, sf: _stock(s, sf, [DEPARTEMENT]),
         "scan_history": scan_history,
         "filter_region": lambda s, sf: _stock(s, sf, REGION),
@@ -209,7 +218,16 @@ def queries() -> dict[str, Query]:
         "q10_closures": on_fact(analyses.closures_per_year, FIRST_YEAR, LAST_YEAR),
         "q11_net_balance": on_fact(analyses.net_balance, FIRST_YEAR, LAST_YEAR),
     }
+    corpus = dict(LLM.QUERIES) if LLM else {}
+    if PIPELINE:
+        corpus["pipeline"] = PIPELINE.run
+    return register | corpus
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    twins = dict(ORACLE)
+    if LLM:
+        twins |= LLM.ORACLE
+    if PIPELINE and PIPELINE.ORACLE_SQL:
+        twins["pipeline"] = PIPELINE.ORACLE_SQL
+    return twins
