@@ -1,7 +1,7 @@
 """Queries of the corpus operators and their SQL twins, for the entry file."""
 
-from periodica.llm import exact_dedup, langid, secrets, toxicity
+from periodica.llm import exact_dedup, fingerprints, langid, secrets, toxicity
 
-MODULES = [secrets, toxicity, exact_dedup, langid]
+MODULES = [secrets, toxicity, fingerprints, exact_dedup, langid]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
