@@ -1,7 +1,15 @@
 """Queries of the corpus operators and their SQL twins, for the entry file."""
 
-from periodica.llm import exact_dedup, fingerprints, langid, near_dedup, secrets, toxicity
+from periodica.llm import (
+    exact_dedup,
+    fingerprints,
+    langid,
+    mixing,
+    near_dedup,
+    secrets,
+    toxicity,
+)
 
-MODULES = [secrets, near_dedup, toxicity, fingerprints, exact_dedup, langid]
+MODULES = [secrets, near_dedup, toxicity, mixing, fingerprints, exact_dedup, langid]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
