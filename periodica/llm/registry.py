@@ -7,9 +7,19 @@ from periodica.llm import (
     mixing,
     near_dedup,
     secrets,
+    tokens,
     toxicity,
 )
 
-MODULES = [secrets, near_dedup, toxicity, mixing, fingerprints, exact_dedup, langid]
+MODULES = [
+    secrets,
+    near_dedup,
+    toxicity,
+    mixing,
+    fingerprints,
+    tokens,
+    exact_dedup,
+    langid,
+]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
