@@ -6,6 +6,7 @@ from periodica.llm import (
     langid,
     mixing,
     near_dedup,
+    pii,
     secrets,
     tokens,
     toxicity,
@@ -17,6 +18,7 @@ MODULES = [
     toxicity,
     mixing,
     fingerprints,
+    pii,
     tokens,
     exact_dedup,
     langid,
