@@ -7,8 +7,10 @@
    that can't reach the threshold; the full sets of the others are compared. Links give labels.
 3. Only buckets whose members still differ in label can hide another link. Their members with the
    commonest label are dealt into blocks, each of which meets the blocks of the others; those meet
-   among themselves. A task sees two blocks of about `TILE` members at most, and returns pairs of
-   unlike labels that pass the likelihood, each in the first band they share. Full sets decide again.
+   among themselves. A tile has two blocks of about `TILE` members with their full sets. Pairs of
+   unlike labels that pass the likelihood, in the first band they share, are compared in full right
+   there, unless links found in the tile have joined their labels already; so a tile returns fewer
+   links than it has labels, however many of its members are alike.
 4. Components of all links; the least id stays.
 
 A pair at the threshold shares no band with a probability of 1.3e-7 (40 bands of 5 registers); more
@@ -33,7 +35,7 @@ from periodica.llm import setsketch as S
 from periodica.llm.common import fan_out, free_name, stored, table, texts
 from periodica.llm.components import components
 
-TILE = 1024
+TILE = 512
 SHINGLE = 5
 SKETCH = "doc_id long, n_shingles long, set_key binary, sketch binary"
 
@@ -124,18 +126,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch["h_a"], batch["h_b"], strict=True):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(a) + len(b) - shared))
+            sets = ((np.frombuffer(x, np.uint64) for x in batch[h]) for h in ("h_a", "h_b"))
+            ok = [resembles(a, b, percent) for a, b in zip(*sets, strict=True)]
             yield batch.loc[ok, ["a", "b"]]
 
     return pairs.mapInPandas(rows, "a long, b long").distinct()
 
 
-def tiles(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of buckets with several labels, dealt into tiles of two blocks."""
+def tiles(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of buckets with several labels, dealt into tiles of two blocks, with sketch and set."""
     labelled = members.filter(F.col("size") > 2).select("key", "node").join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     counts = labelled.groupBy("key", "label").agg(F.count("*").alias("n_label")).groupBy("key")
@@ -172,24 +171,31 @@ def tiles(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     places = F.when(F.col("label") == F.col("common"), common).otherwise(F.concat(across, among))
     rows = rows.select("key", "node", "label", F.explode(places).alias("tile"))
     rows = rows.select("key", "node", "label", "tile.*")
-    return rows.join(nodes.select("node", "n", "sketch"), "node")
+    return rows.join(nodes.select("node", "n", "sketch"), "node").join(sets, "node")
 
 
-def pairs_in_tile(
-    key: int, kind: int, same: bool, tile: pd.DataFrame, least: float
-) -> Iterator[pd.DataFrame]:
-    """Pairs of unlike labels in one tile that pass the likelihood and share no earlier band."""
-    band = key & 63
+def resembles(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def links_in_tile(key: int, same: bool, tile: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between unlike labels in one tile, as many as it takes to join what is linked."""
+    band, least = key & 63, percent / 100
     a = tile[tile["side"] == 0]
     b = a if same else tile[tile["side"] == 1]
     if not len(a) or not len(b):
-        return
-    s_b, n_b = sketches(b["sketch"]), b["n"].to_numpy()
-    label_b, node_b = b["label"].to_numpy(), b["node"].to_numpy()
+        return []
+    s_b, n_b, node_b = sketches(b["sketch"]), b["n"].to_numpy(), b["node"].to_numpy()
+    sets_b = [np.frombuffer(x, np.uint64) for x in b["hashes"]]
+    # labels as small numbers, the least of what is joined so far
+    names = np.unique(np.concatenate((a["label"].to_numpy(), b["label"].to_numpy())))
+    class_a, class_b = (np.searchsorted(names, x["label"].to_numpy()) for x in (a, b))
+    links = []
     for k, row in enumerate(a.itertuples(index=False)):
         own = np.frombuffer(row.sketch, np.uint16)
         ratio = np.minimum(row.n, n_b) >= least * np.maximum(row.n, n_b)
-        at = np.flatnonzero((label_b != row.label) & ratio)
+        at = np.flatnonzero((class_b != class_a[k]) & ratio)
         if same:
             at = at[at > k]
         if not len(at):
@@ -198,21 +204,32 @@ def pairs_in_tile(
         # far below what the likelihood could accept
         near = equal.sum(1) >= (least - 0.2) * S.M
         at, equal = at[near], equal[near]
-        shared = equal.reshape(len(at), S.BANDS, S.ROWS).all(2)
-        first = shared.argmax(1) == band
-        at = at[first]
+        at = at[equal.reshape(len(at), S.BANDS, S.ROWS).all(2).argmax(1) == band]
         if not len(at):
             continue
         above, below = (own > s_b[at]).sum(1), (own < s_b[at]).sum(1)
-        _, ok = S.plausible(above, below, np.full(len(at), row.n), n_b[at], least)
-        if ok.any():
-            yield pd.DataFrame({"a": row.node, "b": node_b[at[ok]]})
-
-
-def unlike_pairs(tiled: DataFrame, least: float) -> DataFrame:
+        estimate, ok = S.plausible(above, below, np.full(len(at), row.n), n_b[at], least)
+        mine = np.frombuffer(row.hashes, np.uint64)
+        # the likeliest first: a link found early spares the rest of its label
+        for j in at[ok][np.argsort(-estimate[ok])]:
+            if class_b[j] != class_a[k] and resembles(mine, sets_b[j], percent):
+                links.append((row.node, int(node_b[j])))
+                low, high = sorted((class_a[k], class_b[j]))
+                class_a[class_a == high] = low
+                class_b[class_b == high] = low
+    return links
+
+
+def unlike_links(tiled: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between labels, found tile by tile."""
     place = ["key", "kind", "i", "j"]
     dealt = tiled.repartition(fan_out(tiled.sparkSession), *place).sortWithinPartitions(*place)
 
+    def found(where: tuple, parts: list[pd.DataFrame]) -> pd.DataFrame:
+        same = where[1] == 1 and where[2] == where[3]
+        links = links_in_tile(where[0], same, pd.concat(parts), percent)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # tiles arrive in order; the last of a batch may go on in the next one
         held: list[pd.DataFrame] = []
@@ -221,15 +238,11 @@ def unlike_pairs(tiled: DataFrame, least: float) -> DataFrame:
             for where, part in batch.groupby(place, sort=True):
                 if where != at:
                     if held:
-                        yield from pairs_in_tile(
-                            at[0], at[1], at[1] == 1 and at[2] == at[3], pd.concat(held), least
-                        )
+                        yield found(at, held)
                     held, at = [], where
                 held.append(part)
         if held:
-            yield from pairs_in_tile(
-                at[0], at[1], at[1] == 1 and at[2] == at[3], pd.concat(held), least
-            )
+            yield found(at, held)
 
     return dealt.mapInPandas(rows, "a long, b long").distinct()
 
@@ -254,8 +267,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80)
     sets = stored(shingle_sets(docs, wanted, shingle))
     labels = components(verified(likely, sets, percent))
 
-    more = unlike_pairs(tiles(members, labels, nodes), least)
-    more = verified(more, sets, percent)
+    more = unlike_links(tiles(members, labels, nodes, sets), percent)
     # what is left links whole components
     for side in ("a", "b"):
         own = labels.select(F.col("node").alias(side), F.col("label").alias(f"l_{side}"))
