@@ -41,16 +41,17 @@ BYTE = _byte_values()
 
 
 class Powers:
-    """Powers of FACTOR and of its inverse modulo 2**64, as many as the longest text so far needs."""
+    """Powers of an odd factor and of its inverse modulo 2**64, as many as the longest text needs."""
 
-    def __init__(self) -> None:
+    def __init__(self, factor: int = FACTOR) -> None:
+        self.factor = factor
         self.up = self.down = np.ones(1, U)
 
     def need(self, n: int) -> None:
         if len(self.up) < n:
             n = max(n, 2 * len(self.up), 1 << 14)
-            back = pow(FACTOR, -1, 1 << 64)
-            steps = np.full(n, FACTOR, U), np.full(n, back, U)
+            back = pow(self.factor, -1, 1 << 64)
+            steps = np.full(n, self.factor, U), np.full(n, back, U)
             for step in steps:
                 step[0] = 1
             self.up, self.down = (np.cumprod(step, dtype=U) for step in steps)
