@@ -63,30 +63,45 @@ def phrases(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cut[:-1], np.diff(cut), name.view(np.int64)
 
 
-def windows(text: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of the 400 bytes from each start."""
-    raw = np.frombuffer(text, np.uint8)
-    one = pieces(sums(raw), starts, starts + LENGTH)
-    two = pieces(sums(raw, BYTE2, POWERS2), starts, starts + LENGTH, POWERS2)
-    return one.view(np.int64), two.view(np.int64)
-
-
-def prefix_keys(name: np.ndarray, length: np.ndarray, run: np.ndarray) -> tuple:
-    """Per phrase, two hashes of the phrases from there that cover 400 bytes within its run, and
-    whether they do; rows are in order of text and place."""
-    end = np.cumsum(length)
-    begin = end - length
-    # the last phrase of each cover: the first whose end is 400 bytes on
-    last = np.searchsorted(end, begin + LENGTH)
-    within = last < len(name)
-    last = np.minimum(last, len(name) - 1)
-    within &= run[last] == run
-    names = mixed(name.view(U))
-    out = []
-    for powers, salt in ((POWERS, 3), (POWERS2, 5)):
-        powers.need(len(name) + 1)
-        total = np.zeros(len(name) + 1, U)
-        np.cumsum(mixed(names + U(salt)) * powers.up[: len(name)], dtype=U, out=total[1:])
-        key = pieces(total, np.arange(len(name)), last + 1, powers)
-        out.append(key.view(np.int64))
-    return *out, within
+class Windows:
+    """Two independent 64-bit hashes of pieces of one text."""
+
+    def __init__(self, text: bytes) -> None:
+        raw = np.frombuffer(text, np.uint8)
+        self.sums = sums(raw), sums(raw, BYTE2, POWERS2)
+
+    def one(self, starts: np.ndarray, size: int) -> np.ndarray:
+        return pieces(self.sums[0], starts, starts + size).view(np.int64)
+
+    def two(self, starts: np.ndarray, size: int) -> np.ndarray:
+        return pieces(self.sums[1], starts, starts + size, POWERS2).view(np.int64)
+
+
+class Covers:
+    """Hashes of whole phrases from one place on, over the rows of many texts in order; `run` numbers
+    the strings of neighbouring phrases."""
+
+    def __init__(self, name: np.ndarray, length: np.ndarray, run: np.ndarray) -> None:
+        self.run, self.n = run, len(name)
+        self.end = np.cumsum(length)
+        self.begin = self.end - length
+        names = mixed(name.view(U))
+        self.totals = []
+        for powers, salt in ((POWERS, 3), (POWERS2, 5)):
+            powers.need(self.n + 1)
+            total = np.zeros(self.n + 1, U)
+            np.cumsum(mixed(names + U(salt)) * powers.up[: self.n], dtype=U, out=total[1:])
+            self.totals.append((total, powers))
+
+    def key(self, size: int, before: int = 0, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Per phrase, the hash of the phrases that cover `size` bytes from its start and, where
+        asked for, `before` bytes in front of it; and whether its string has them."""
+        last = np.searchsorted(self.end, self.begin + size)
+        whole = last < self.n
+        last = np.minimum(last, self.n - 1)
+        first = np.searchsorted(self.begin, self.begin - before, side="right") - 1
+        whole &= first >= 0
+        first = np.maximum(first, 0)
+        whole &= (self.run[last] == self.run) & (self.run[first] == self.run)
+        total, powers = self.totals[which]
+        return pieces(total, first, last + 1, powers).view(np.int64), whole

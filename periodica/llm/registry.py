@@ -8,6 +8,7 @@ from periodica.llm import (
     near_dedup,
     pii,
     secrets,
+    suffix_dedup,
     tokens,
     toxicity,
 )
@@ -22,6 +23,7 @@ MODULES = [
     tokens,
     exact_dedup,
     langid,
+    suffix_dedup,
 ]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

@@ -5,11 +5,15 @@
    strings of phrase names some sixty times shorter than the text.
 2. `suffix_order` sorts the suffixes of these strings by the difference-cover method: triples of
    sampled places, recursion on their names, merge of the rest. Neighbours in that order are
-   compared: where both begin with the same phrases over 400 bytes, both places start a repeat. What
-   lies between neighbouring such places of a text is covered by repeats.
-3. A repeat may begin up to 127 bytes before a boundary, and end between two. Places near a boundary
-   whose neighbourhood isn't covered in some text are compared exactly, by two 64-bit hashes of the
-   400 bytes from every start there, in all texts that have the same phrase.
+   compared: how many bytes of phrases they share tells how far a place's best partner reaches. Where
+   it is 400 bytes, the place starts a repeat, and what lies between neighbouring such places of a
+   text is covered by repeats. (Where a text repeats itself phrase by phrase, as in "ha ha ha", 400
+   bytes from either end of the stretch are enough for the order.)
+3. A repeat may begin up to 127 bytes before a boundary, and end between two. Where a phrase isn't
+   well inside such a cover and its partner reaches far enough, the 400 bytes from every start before
+   it are compared exactly, by two 64-bit hashes: first in blocks of 32 starts, which all repeat if
+   the block's bytes do, then one by one where only what they share does. For places well inside, one
+   of each different surrounding is compared along, so that the others find their partner.
 4. Per text, the bytes of all repeats are removed and the others joined.
 
 Texts equal to another one are one string; if it has 400 bytes, nothing of them is kept.
@@ -34,6 +38,15 @@ from periodica.llm import phrases as P
 from periodica.llm.common import fan_out, stored, table, texts
 from periodica.llm.suffix_order import running, suffix_ranks
 
+#: A repeat shares at least the first of these with its partner behind its first common boundary, and
+#: one that starts 127 - x bytes nearer to it x bytes more.
+REACHES = (P.LENGTH - P.BEFORE - P.BEHIND, 162, 194, 226, P.LENGTH - P.BEHIND, P.LENGTH)
+BLOCK = 32
+RUNS = (
+    "text long, at long, pos int, size int, name long, "
+    + ", ".join(f"key{c} long" for c in REACHES)
+    + ", second long, around long, given boolean, base boolean, ordered boolean, low long, high long"
+)
 RESULT = "text long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -83,9 +96,15 @@ def by_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held)
 
 
+def column(values: np.ndarray, known: np.ndarray, like: pd.DataFrame) -> pd.Series:
+    return pd.Series(values, index=like.index).where(known).astype("Int64")
+
+
 def runs_of(rows: DataFrame) -> DataFrame:
-    """(text, at, pos, size, name, key1, key2, low, high): repeated phrases with the key of the 400
-    bytes from there, null where the run is shorter, and the run's zone."""
+    """The columns of RUNS per repeated phrase: keys of the phrases that cover so many bytes from
+    there (null where the run is shorter), of its surroundings, the run's zone, whether the text
+    itself repeats there, one phrase on or back (`given`), whether it doesn't merely repeat the next
+    place (`base`), and whether the order needs it."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in by_text(batches):
@@ -93,56 +112,69 @@ def runs_of(rows: DataFrame) -> DataFrame:
             opens = np.concatenate(([True], (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)))
             run = np.cumsum(opens)
             size, pos = batch["size"].to_numpy(np.int64), batch["pos"].to_numpy(np.int64)
-            key1, key2, whole = P.prefix_keys(batch["name"].to_numpy(), size, run)
+            covers = P.Covers(batch["name"].to_numpy(), size, run)
+            out = {f"key{c}": column(*covers.key(c), batch) for c in REACHES}
+            out["second"] = column(*covers.key(P.LENGTH, which=1), batch)
+            out["around"] = column(*covers.key(P.LENGTH, before=P.BEFORE), batch)
+            key, whole = covers.key(P.LENGTH)
+            same = np.concatenate((whole[:-1] & whole[1:] & ~opens[1:] & (key[1:] == key[:-1]), [False]))
+            # a place is in order unless it only repeats the next one, 400 bytes behind all others
+            base = np.maximum.accumulate(np.where(same, -P.LENGTH, covers.begin))
             first = np.flatnonzero(opens)
             last = np.append(first[1:], len(run)) - 1
-            low = np.maximum(0, pos[first] - P.BEFORE)
-            high = pos[last] + size[last] + P.BEHIND
             yield batch.assign(
-                key1=pd.Series(key1, index=batch.index).where(whole).astype("Int64"),
-                key2=pd.Series(key2, index=batch.index).where(whole).astype("Int64"),
-                low=low[run - 1],
-                high=high[run - 1],
+                **out,
+                given=same | np.concatenate(([False], same[:-1])),
+                base=~same,
+                ordered=~same | (covers.begin - base < P.LENGTH),
+                low=np.maximum(0, pos[first] - P.BEFORE)[run - 1],
+                high=(pos[last] + size[last] + P.BEHIND)[run - 1],
             )
 
     dealt = rows.repartition(fan_out(rows.sparkSession), "text").sortWithinPartitions("text", "at")
     # a zone below 400 bytes has no repeat
-    return dealt.mapInPandas(
-        keys,
-        "text long, at long, pos int, size int, name long, key1 long, key2 long, low long, high long",
-    ).filter(F.col("high") - F.col("low") >= P.LENGTH)
+    return dealt.mapInPandas(keys, RUNS).filter(F.col("high") - F.col("low") >= P.LENGTH)
 
 
-def started(runs: DataFrame) -> DataFrame:
-    """`runs` with `sure`: whether the phrase starts a repeat, as a neighbour in the order shows."""
-    strings = runs.select("text", "at", F.col("name").alias("sym"), F.col("size").cast("long"))
+def reached(runs: DataFrame) -> DataFrame:
+    """`runs` with `reach`: how many bytes of phrases some other place shares, as far as REACHES
+    tell, seen from the neighbours in the order of all suffixes."""
+    ordered = runs.filter("ordered")
+    strings = ordered.select("text", "at", F.col("name").alias("sym"), F.col("size").cast("long"))
     ranks = suffix_ranks(strings, P.LENGTH)
-    groups = ranks.join(runs.select("text", "at", "key1", "key2"), ["text", "at"]).groupBy("rank")
-    groups = stored(
-        groups.agg(
-            F.count("*").alias("n"), F.min("key1").alias("key1"), F.min("key2").alias("key2")
-        )
-    )
+    keys = [*(f"key{c}" for c in REACHES), "second"]
+    # a place that only repeats the next one is represented by the last of them
+    compared = ordered.filter("base").select("text", "at", *keys)
+    groups = ranks.join(compared, ["text", "at"]).groupBy("rank")
+    groups = stored(groups.agg(F.count("*").alias("n"), *[F.min(k).alias(k) for k in keys]))
     # ranks in order are neighbours: numbered, each is joined with the next
     numbers = running(groups.select("rank"), ["rank"], {"nth": F.lit(1).cast("long")})
     numbered = stored(groups.join(numbers, "rank"))
-    after = numbered.select(
-        (F.col("nth") - 1).alias("nth"), F.col("key1").alias("next1"), F.col("key2").alias("next2")
-    )
+    after = numbered.select((F.col("nth") - 1).alias("nth"), *[F.col(k).alias(f"next_{k}") for k in keys])
     pairs = numbered.join(after, "nth")
-    alike = (F.col("key1") == F.col("next1")) & (F.col("key2") == F.col("next2"))
-    alike = pairs.filter(alike).select("nth")
-    both = alike.union(alike.select(F.col("nth") + 1)).distinct().withColumn("alike", F.lit(True))
-    sure = F.col("key1").isNotNull() & ((F.col("n") > 1) | F.coalesce("alike", F.lit(False)))
-    starts = numbered.join(both, "nth", "left").filter(sure).select("rank")
-    places = ranks.join(starts, "rank").select("text", "at", F.lit(True).alias("sure"))
-    return runs.join(places, ["text", "at"], "left").withColumn(
-        "sure", F.coalesce("sure", F.lit(False)) & F.col("key1").isNotNull()
-    )
+
+    def shared(alike: list[Column]) -> Column:
+        return F.greatest(F.lit(0), *[F.when(a, c) for a, c in zip(alike, REACHES, strict=True)])
+
+    equal = [F.col(k) == F.col(f"next_{k}") for k in keys]
+    equal = [*equal[:-2], equal[-2] & equal[-1]]
+    pairs = pairs.select("nth", shared(equal).alias("shared")).filter("shared > 0")
+    both = pairs.union(pairs.select(F.col("nth") + 1, "shared"))
+    both = both.groupBy("nth").agg(F.max("shared").alias("shared"))
+    whole = shared([F.col(k).isNotNull() for k in keys[:-1]])
+    among = F.when(F.col("n") > 1, whole).otherwise(0)
+    reach = F.greatest(among, F.coalesce("shared", F.lit(0))).alias("reach")
+    found = numbered.join(both, "nth", "left").select("rank", reach).filter("reach > 0")
+    places = ranks.join(compared.select("text", "at"), ["text", "at"], "left_semi")
+    places = places.join(found, "rank").select("text", "at", "reach")
+    reach = F.when(F.col("given"), P.LENGTH).otherwise(F.coalesce("reach", F.lit(0)))
+    rows = runs.join(places, ["text", "at"], "left").withColumn("reach", reach)
+    kept = ["text", "at", "pos", "name", "around", "ordered", "low", "high", "reach"]
+    return rows.select(*kept, (F.col("reach") == P.LENGTH).alias("sure"))
 
 
 def covered(rows: DataFrame) -> DataFrame:
-    """`started` rows with the first place of each chain of neighbouring sure phrases."""
+    """`reached` rows with the chain of neighbouring sure phrases and its first place."""
     order = Window.partitionBy("text", "sure").orderBy("at")
     rows = rows.withColumn("chain", F.when(F.col("sure"), F.col("at") - F.row_number().over(order)))
     return rows.withColumn(
@@ -151,17 +183,33 @@ def covered(rows: DataFrame) -> DataFrame:
 
 
 def open_ranges(rows: DataFrame) -> DataFrame:
-    """(text, ranges): starts to compare exactly, near phrases that aren't inside a chain everywhere."""
-    inside = F.col("sure") & (F.col("chain_low") <= F.greatest(F.col("low"), F.col("pos") - P.BEFORE))
-    open_names = rows.groupBy("name").agg(F.min(inside).alias("inside")).filter(~F.col("inside"))
-    near = rows.join(open_names.select("name"), "name").select(
-        "text",
-        F.greatest(F.col("low"), F.col("pos") - P.BEFORE).alias("first"),
-        F.least(F.col("pos").cast("long"), F.col("high") - P.LENGTH).alias("last"),
+    """(text, ranges): starts to compare exactly, before phrases that aren't inside a chain. What lies
+    inside one is compared, for the others' sake, once for each different surrounding."""
+    rows = rows.filter("ordered and reach > 0").withColumn("first", F.greatest(F.col("low"), F.col("pos") - P.BEFORE))
+    inside = F.col("sure") & (F.col("chain_low") <= F.col("first"))
+    rows = rows.withColumn("inside", inside)
+    edges = rows.filter("not inside")
+    names = edges.select("name").distinct()
+    others = rows.filter("inside").join(names, "name", "left_semi")
+    near = edges.select("text", "pos", "first", "high", "reach").unionByName(
+        others.filter("around is null").select("text", "pos", "first", "high", "reach")
     )
+    others = others.filter("around is not null").dropDuplicates(["around"])
+    near = near.unionByName(others.select("text", "pos", "first", "high", "reach"))
+    # a start far in front of a phrase needs fewer bytes behind it
+    least = F.greatest(F.lit(0), P.LENGTH - P.BEHIND + 1 - next_reach(F.col("reach")))
+    near = near.withColumn("last", F.least(F.col("pos") - least, F.col("high") - P.LENGTH))
     near = near.filter(F.col("first") <= F.col("last")).groupBy("text")
     # as many as the phrases of one text
-    return near.agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    return near.agg(F.collect_list(F.struct("pos", "first", "last")).alias("ranges"))
+
+
+def next_reach(reach: Column) -> Column:
+    """The first of REACHES that isn't shared; what is shared in truth is less."""
+    out = F.lit(REACHES[-1])
+    for c, following in zip(REACHES, REACHES[1:], strict=False):
+        out = F.when(reach == c, following).otherwise(out)
+    return out
 
 
 def union_of(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
@@ -173,6 +221,70 @@ def union_of(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(depth[:n]) > 0)
 
 
+def block_rows(ranged: DataFrame) -> DataFrame:
+    """(text, high, low, last, core, hull1, hull2): the starts before a phrase in blocks of 32, counted
+    from the phrase; `core` is what all 400-byte pieces from a block share, `hull` all their bytes."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                content = row.content.encode()
+                pos, first, last = (
+                    np.array([x[k] for x in row.ranges], np.int64) for k in ("pos", "first", "last")
+                )
+                last = np.minimum(last, len(content) - P.LENGTH)
+                high = (pos[:, None] - BLOCK * np.arange(-(-P.WINDOW // BLOCK))).ravel()
+                each = len(high) // len(pos)
+                low = np.maximum(np.repeat(first, each), high - BLOCK + 1)
+                last = np.minimum(np.repeat(last, each), high)
+                some = low <= last
+                # a block may belong to two phrases
+                high, at = np.unique(high[some], return_inverse=True)
+                lows, lasts = np.full(len(high), len(content)), np.full(len(high), -1)
+                np.minimum.at(lows, at, low[some])
+                np.maximum.at(lasts, at, last[some])
+                if not len(high):
+                    continue
+                hashes = P.Windows(content)
+                start, size = high - BLOCK + 1, P.LENGTH + BLOCK - 1
+                whole = (start >= 0) & (start + size <= len(content))
+                safe = np.where(whole, start, 0)
+                size = min(size, len(content))
+                out = pd.DataFrame({"text": row.text, "high": high, "low": lows, "last": lasts})
+                out["core"] = hashes.one(high, P.LENGTH - BLOCK + 1)
+                out["hull1"] = column(hashes.one(safe, size), whole, out)
+                out["hull2"] = column(hashes.two(safe, size), whole, out)
+                yield out
+
+    return ranged.mapInPandas(
+        rows, "text long, high long, low long, last long, core long, hull1 long, hull2 long"
+    )
+
+
+def split_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spans of the blocks whose hull occurs twice; (text, ranges) of the starts left to compare: those
+    of the other blocks whose core occurs twice, and of one block of each hull they may meet."""
+    hulls = blocks.filter("hull1 is not null").groupBy("hull1", "hull2").agg(F.count("*").alias("n"))
+    hulls = hulls.filter("n > 1").select("hull1", "hull2", F.lit(True).alias("twice"))
+    blocks = stored(
+        blocks.join(hulls, ["hull1", "hull2"], "left").withColumn(
+            "twice", F.coalesce("twice", F.lit(False))
+        )
+    )
+    start = F.col("high") - BLOCK + 1
+    spans = blocks.filter("twice").select(
+        "text", start.alias("first"), (F.col("high") + P.LENGTH - 1).alias("last")
+    )
+    cores = blocks.groupBy("core").agg(F.count("*").alias("n"), F.min("twice").alias("all_twice"))
+    cores = cores.filter("n > 1 and not all_twice").select("core")
+    left = blocks.join(cores, "core", "left_semi")
+    one = left.filter("twice").dropDuplicates(["hull1", "hull2"])
+    left = left.filter("not twice").select("text", F.col("low").alias("first"), "last")
+    left = left.unionByName(one.select("text", start.alias("first"), F.col("high").alias("last")))
+    # as many as the blocks of one text
+    return spans, left.groupBy("text").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+
+
 def window_rows(ranged: DataFrame) -> DataFrame:
     """(hash1, hash2, text, start) of the 400 bytes from every start in the ranges."""
 
@@ -183,7 +295,8 @@ def window_rows(ranged: DataFrame) -> DataFrame:
                 first, last = (np.array([x[k] for x in row.ranges], np.int64) for k in ("first", "last"))
                 starts = union_of(first, last, len(content) - P.LENGTH + 1)
                 if len(starts):
-                    one, two = P.windows(content, starts)
+                    hashes = P.Windows(content)
+                    one, two = hashes.one(starts, P.LENGTH), hashes.two(starts, P.LENGTH)
                     yield pd.DataFrame({"hash1": one, "hash2": two, "text": row.text, "start": starts})
 
     return ranged.mapInPandas(rows, "hash1 long, hash2 long, text long, start int")
@@ -227,7 +340,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     cut = stored(phrase_rows(docs))
     rows = repeated(cut).join(later, "text", "left_anti").dropDuplicates(["text", "at"])
     runs = stored(runs_of(repeated(stored(rows))))
-    rows = stored(covered(started(runs)))
+    rows = stored(covered(reached(runs)))
 
     chains = rows.filter("sure").groupBy("text", "chain").agg(
         F.min("pos").cast("long").alias("first"), (F.max("pos") + P.LENGTH - 1).cast("long").alias("last")
@@ -236,16 +349,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     chains = stored(chains.select("text", "first", "last"))
     wanted = ranges.select("text").union(chains.select("text")).distinct()
     held = docs.select(text_key().alias("text"), F.col("text").alias("content"))
-    held = stored(held.join(wanted, "text", "left_semi"))
+    held = stored(held.join(wanted, "text", "left_semi").dropDuplicates(["text"]))
 
-    starts = stored(window_rows(held.join(ranges, "text")).dropDuplicates(["text", "start"]))
+    blocks = stored(block_rows(held.join(ranges, "text")))
+    spans, ranges = split_blocks(blocks)
+    starts = stored(window_rows(held.join(ranges, "text")))
     twice = starts.groupBy("hash1", "hash2").agg(F.count("*").alias("n")).filter("n > 1")
     hits = starts.join(twice.select("hash1", "hash2"), ["hash1", "hash2"]).select(
         "text",
         F.col("start").cast("long").alias("first"),
         (F.col("start") + P.LENGTH - 1).cast("long").alias("last"),
     )
-    found = results(held, chains.unionByName(hits)).dropDuplicates(["text"])
+    found = results(held, chains.unionByName(spans).unionByName(hits))
 
     known = sums.join(copies.select("sha", "n_copies"), "sha", "left").join(found, "text", "left")
     twin = F.col("n_copies").isNotNull() & (F.col("n_bytes") >= P.LENGTH)

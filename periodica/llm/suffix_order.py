@@ -7,7 +7,8 @@ further on, a pair of sampled ones.
 1. The symbols of a sampled position and the next two form a triple; the different triples are sorted
    and numbered, and each sampled position gets its triple's number as name.
 2. If equal names leave an order open, the names of each class form new strings, which are ordered
-   the same way. Names are final for the purpose here once they cover `depth` units of text.
+   the same way; only open names and what follows them are needed there. Names are final for the
+   purpose here once they cover `depth` units of text.
 3. The other positions are ordered by (symbol, rank of the next position), and merged with the
    sample: against class 1 by that pair, against class 2 by two symbols and the rank after them. The
    merge counts, for every key, what lies below it.
@@ -85,20 +86,29 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     # equal names that go on in the text and cover too little leave the order open
     goes_on = F.col("sym2").isNotNull() & (F.col("covers") < depth)
     open_names = named.groupBy("name").agg(F.count("*").alias("n"), F.max(goes_on).alias("goes_on"))
-    if open_names.filter("n > 1 and goes_on").isEmpty():
-        ranks = named.select("text", "at", "kind", F.col("name").alias("rank"))
-    else:
-        place = F.floor(F.col("at") / 3) + (F.col("kind") - 1) * APART
-        shorter = named.select(
-            "text", place.cast("long").alias("at"), F.col("name").alias("sym"), F.col("covers").alias("size")
-        )
-        inner = suffix_ranks(shorter, depth)
-        back = inner.select(F.col("text").alias("t"), F.col("at").alias("p"), "rank")
-        known = named.select("text", "at", "kind", place.cast("long").alias("p2"))
-        joined = known.join(back, (F.col("text") == F.col("t")) & (F.col("p2") == F.col("p")))
-        ranks = joined.select("text", "at", "kind", "rank")
-    ranks = stored(ranks)
-    return merged_ranks(rows, ranks)
+    open_names = stored(open_names.filter("n > 1 and goes_on").select("name"))
+    if open_names.isEmpty():
+        ranks = stored(named.select("text", "at", "kind", F.col("name").alias("rank")))
+        return merged_ranks(rows, ranks)
+    place = F.floor(F.col("at") / 3) + (F.col("kind") - 1) * APART
+    marked = named.join(open_names.withColumn("open", F.lit(True)), "name", "left")
+    shorter = marked.select(
+        "text", "kind", F.col("at").alias("place"), place.cast("long").alias("at"),
+        F.col("name").alias("sym"), F.col("covers").alias("size"), "open",
+    )
+    # what follows an open name decides; behind a name that is settled nothing matters
+    order = Window.partitionBy("text").orderBy("at")
+    after = (F.lag("at").over(order) == F.col("at") - 1) & F.lag("open").over(order)
+    shorter = stored(shorter.withColumn("needed", F.coalesce(F.col("open"), after, F.lit(False))))
+    inner = suffix_ranks(shorter.filter("needed").select("text", "at", "sym", "size"), depth)
+    inner = inner.withColumnRenamed("rank", "inner")
+    joined = shorter.join(inner, ["text", "at"], "left").select(
+        "text", F.col("place").alias("at"), "kind", F.col("sym").alias("name"), F.when(F.col("open"), F.col("inner")).alias("inner")
+    )
+    joined = stored(joined)
+    numbers = running(joined, ["name", "inner"], {"rank": F.lit(1).cast("long")})
+    ranks = matched(joined, numbers, ["name", "inner"]).select("text", "at", "kind", "rank")
+    return merged_ranks(rows, stored(ranks))
 
 
 def merged_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
