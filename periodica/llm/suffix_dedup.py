@@ -118,8 +118,9 @@ def runs_of(rows: DataFrame) -> DataFrame:
             out["around"] = column(*covers.key(P.LENGTH, before=P.BEFORE), batch)
             key, whole = covers.key(P.LENGTH)
             same = np.concatenate((whole[:-1] & whole[1:] & ~opens[1:] & (key[1:] == key[:-1]), [False]))
-            # a place is in order unless it only repeats the next one, 400 bytes behind all others
-            base = np.maximum.accumulate(np.where(same, -P.LENGTH, covers.begin))
+            # a place is in order unless it only repeats the next one, 400 bytes behind the last
+            # that doesn't and behind the start of its run
+            base = np.maximum.accumulate(np.where(same & ~opens, 0, covers.begin))
             first = np.flatnonzero(opens)
             last = np.append(first[1:], len(run)) - 1
             yield batch.assign(
