@@ -38,11 +38,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Frees the shuffle files of a finished write; without it they stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder and read it back: lineage is cut, files outlive executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

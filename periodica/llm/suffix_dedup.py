@@ -42,6 +42,7 @@ from periodica.llm.suffix_order import running, suffix_ranks
 #: one that starts 127 - x bytes nearer to it x bytes more.
 REACHES = (P.LENGTH - P.BEFORE - P.BEHIND, 162, 194, 226, P.LENGTH - P.BEHIND, P.LENGTH)
 BLOCK = 32
+BLOCKS = ("text", "high", "low", "last", "core", "hull1", "hull2")
 RUNS = (
     "text long, at long, pos int, size int, name long, "
     + ", ".join(f"key{c} long" for c in REACHES)
@@ -55,23 +56,21 @@ def text_key() -> Column:
 
 
 def phrase_rows(docs: DataFrame) -> DataFrame:
-    """(text, at, pos, size, name) of every phrase of `docs` (doc_id, text)."""
+    """(text, place, name) of every phrase of `docs` (doc_id, text); a place is its first byte's
+    number times 256 plus its length."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [P.phrases(t.encode()) for t in batch["content"]]
             counts = [len(x[0]) for x in found]
-            if not sum(counts):
-                continue
-            at = np.concatenate([np.arange(n) for n in counts])
-            pos, size, name = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pd.DataFrame(
-                {"text": np.repeat(batch["text"].to_numpy(), counts), "at": at, "pos": pos, "size": size, "name": name}
-            )
+            if sum(counts):
+                pos, size, name = (np.concatenate(x) for x in zip(*found, strict=True))
+                text = np.repeat(batch["text"].to_numpy(), counts)
+                yield pd.DataFrame({"text": text, "place": pos << 8 | size, "name": name})
 
     long_enough = F.octet_length("text") >= P.LENGTH
     keyed = docs.filter(long_enough).select(text_key().alias("text"), F.col("text").alias("content"))
-    return keyed.mapInPandas(rows, "text long, at long, pos int, size int, name long")
+    return keyed.mapInPandas(rows, "text long, place long, name long")
 
 
 def repeated(rows: DataFrame) -> DataFrame:
@@ -108,10 +107,10 @@ def runs_of(rows: DataFrame) -> DataFrame:
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in by_text(batches):
-            text, at = batch["text"].to_numpy(), batch["at"].to_numpy()
-            opens = np.concatenate(([True], (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)))
+            text, place = batch["text"].to_numpy(), batch["place"].to_numpy(np.int64)
+            pos, size = place >> 8, place & 255
+            opens = np.concatenate(([True], (text[1:] != text[:-1]) | (pos[1:] != (pos + size)[:-1])))
             run = np.cumsum(opens)
-            size, pos = batch["size"].to_numpy(np.int64), batch["pos"].to_numpy(np.int64)
             covers = P.Covers(batch["name"].to_numpy(), size, run)
             out = {f"key{c}": column(*covers.key(c), batch) for c in REACHES}
             out["second"] = column(*covers.key(P.LENGTH, which=1), batch)
@@ -123,7 +122,11 @@ def runs_of(rows: DataFrame) -> DataFrame:
             base = np.maximum.accumulate(np.where(same & ~opens, 0, covers.begin))
             first = np.flatnonzero(opens)
             last = np.append(first[1:], len(run)) - 1
-            yield batch.assign(
+            yield batch[["text", "name"]].assign(
+                # one number is left out between runs
+                at=np.arange(len(run)) + run,
+                pos=pos,
+                size=size,
                 **out,
                 given=same | np.concatenate(([False], same[:-1])),
                 base=~same,
@@ -132,7 +135,7 @@ def runs_of(rows: DataFrame) -> DataFrame:
                 high=(pos[last] + size[last] + P.BEHIND)[run - 1],
             )
 
-    dealt = rows.repartition(fan_out(rows.sparkSession), "text").sortWithinPartitions("text", "at")
+    dealt = rows.repartition(fan_out(rows.sparkSession), "text").sortWithinPartitions("text", "place")
     # a zone below 400 bytes has no repeat
     return dealt.mapInPandas(keys, RUNS).filter(F.col("high") - F.col("low") >= P.LENGTH)
 
@@ -202,7 +205,9 @@ def open_ranges(rows: DataFrame) -> DataFrame:
     near = near.withColumn("last", F.least(F.col("pos") - least, F.col("high") - P.LENGTH))
     near = near.filter(F.col("first") <= F.col("last")).groupBy("text")
     # as many as the phrases of one text
-    return near.agg(F.collect_list(F.struct("pos", "first", "last")).alias("ranges"))
+    pos = F.col("pos").cast("long")
+    packed = pos * (1 << 16) + (pos - F.col("first")) * 256 + pos - F.col("last")
+    return near.agg(F.collect_list(packed.cast("long")).alias("ranges"))
 
 
 def next_reach(reach: Column) -> Column:
@@ -213,6 +218,15 @@ def next_reach(reach: Column) -> Column:
     return out
 
 
+def packed() -> Column:
+    """A range of bytes as one number."""
+    return F.col("first") * (1 << 32) + F.col("last")
+
+
+def unpacked(ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return ranges >> 32, ranges & 0xFFFFFFFF
+
+
 def union_of(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
     """All numbers below n in the ranges, each once."""
     first, last = np.minimum(first, n), np.minimum(last + 1, n)
@@ -228,11 +242,11 @@ def block_rows(ranged: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            parts = []
             for row in batch.itertuples(index=False):
                 content = row.content.encode()
-                pos, first, last = (
-                    np.array([x[k] for x in row.ranges], np.int64) for k in ("pos", "first", "last")
-                )
+                pos = row.ranges >> 16
+                first, last = pos - (row.ranges >> 8 & 255), pos - (row.ranges & 255)
                 last = np.minimum(last, len(content) - P.LENGTH)
                 high = (pos[:, None] - BLOCK * np.arange(-(-P.WINDOW // BLOCK))).ravel()
                 each = len(high) // len(pos)
@@ -251,15 +265,17 @@ def block_rows(ranged: DataFrame) -> DataFrame:
                 whole = (start >= 0) & (start + size <= len(content))
                 safe = np.where(whole, start, 0)
                 size = min(size, len(content))
-                out = pd.DataFrame({"text": row.text, "high": high, "low": lows, "last": lasts})
-                out["core"] = hashes.one(high, P.LENGTH - BLOCK + 1)
-                out["hull1"] = column(hashes.one(safe, size), whole, out)
-                out["hull2"] = column(hashes.two(safe, size), whole, out)
+                core = hashes.one(high, P.LENGTH - BLOCK + 1)
+                hull = hashes.one(safe, size), hashes.two(safe, size)
+                parts.append((np.full(len(high), row.text), high, lows, lasts, core, *hull, whole))
+            if parts:
+                *values, whole = (np.concatenate(x) for x in zip(*parts, strict=True))
+                out = pd.DataFrame(dict(zip(BLOCKS, values, strict=True)))
+                for hull in ("hull1", "hull2"):
+                    out[hull] = column(out[hull].to_numpy(), whole, out)
                 yield out
 
-    return ranged.mapInPandas(
-        rows, "text long, high long, low long, last long, core long, hull1 long, hull2 long"
-    )
+    return ranged.mapInPandas(rows, ", ".join(f"{name} long" for name in BLOCKS))
 
 
 def split_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -283,7 +299,7 @@ def split_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     left = left.filter("not twice").select("text", F.col("low").alias("first"), "last")
     left = left.unionByName(one.select("text", start.alias("first"), F.col("high").alias("last")))
     # as many as the blocks of one text
-    return spans, left.groupBy("text").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    return spans, left.groupBy("text").agg(F.collect_list(packed()).alias("ranges"))
 
 
 def window_rows(ranged: DataFrame) -> DataFrame:
@@ -291,14 +307,17 @@ def window_rows(ranged: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            parts = []
             for row in batch.itertuples(index=False):
                 content = row.content.encode()
-                first, last = (np.array([x[k] for x in row.ranges], np.int64) for k in ("first", "last"))
-                starts = union_of(first, last, len(content) - P.LENGTH + 1)
+                starts = union_of(*unpacked(row.ranges), len(content) - P.LENGTH + 1)
                 if len(starts):
                     hashes = P.Windows(content)
-                    one, two = hashes.one(starts, P.LENGTH), hashes.two(starts, P.LENGTH)
-                    yield pd.DataFrame({"hash1": one, "hash2": two, "text": row.text, "start": starts})
+                    both = hashes.one(starts, P.LENGTH), hashes.two(starts, P.LENGTH)
+                    parts.append((*both, np.full(len(starts), row.text), starts))
+            if parts:
+                columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                yield pd.DataFrame(dict(zip(("hash1", "hash2", "text", "start"), columns, strict=True)))
 
     return ranged.mapInPandas(rows, "hash1 long, hash2 long, text long, start int")
 
@@ -311,15 +330,14 @@ def results(held: DataFrame, spans: DataFrame) -> DataFrame:
             out = []
             for row in batch.itertuples(index=False):
                 raw = np.frombuffer(row.content.encode(), np.uint8)
-                first, last = (np.array([x[k] for x in row.spans], np.int64) for k in ("first", "last"))
                 gone = np.zeros(len(raw), bool)
-                gone[union_of(first, last, len(raw))] = True
+                gone[union_of(*unpacked(row.spans), len(raw))] = True
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 kept = hashlib.sha256(raw[~gone].tobytes()).hexdigest()
                 out.append((row.text, int(gone.sum()), spans, kept))
             yield pd.DataFrame(out, columns=["text", "n_removed", "n_spans", "kept_sha256"])
 
-    listed = spans.groupBy("text").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    listed = spans.groupBy("text").agg(F.collect_list(packed()).alias("spans"))
     return held.join(listed, "text").mapInPandas(rows, RESULT)
 
 
@@ -339,7 +357,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     later = copied.filter(F.col("text") != F.col("first_text")).select("text").distinct()
 
     cut = stored(phrase_rows(docs))
-    rows = repeated(cut).join(later, "text", "left_anti").dropDuplicates(["text", "at"])
+    rows = repeated(cut).join(later, "text", "left_anti").dropDuplicates(["text", "place"])
     runs = stored(runs_of(repeated(stored(rows))))
     rows = stored(covered(reached(runs)))
 
