@@ -42,6 +42,7 @@ from periodica.sources.register import headcount_bands, scope_stock  # noqa: E40
 
 AS_OF = dt.date(2026, 1, 1)
 PAST = dt.date(1998, 1, 1)
+EARLY = dt.date(1996, 6, 1)
 FACT = "fait_etablissement_version"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,9 +105,16 @@ def dim_tranche(spark, sf):
 
 
 def normalize_members(spark, sf):
-    stock = normalize_stock(_stock(spark, sf)).drop("code_ape", "libelle_commune")
-    history = normalize_history(derived.history(spark, sf, with_end=False)).drop("date_fin")
-    return stock.join(history, "siret")
+    """Default members for missing, empty and malformed codes; some of the codes are made so here."""
+    number = F.col("siret").cast("long")
+    commune = F.when(number % 13 == 0, F.substring("code_commune", 1, 3))
+    commune = commune.when(number % 17 == 0, "").otherwise(F.col("code_commune"))
+    stock = normalize_stock(_stock(spark, sf).withColumn("code_commune", commune)).drop("code_ape")
+    history = derived.history(spark, sf)
+    for column, rest in (("code_ape", 5), ("etat", 7), ("nomenclature_ape", 9)):
+        empty = F.when(F.col("seq") % 19 == rest, "").otherwise(F.col(column))
+        history = history.withColumn(column, empty)
+    return stock.join(normalize_history(history), "siret")
 
 
 def insert_if_absent(spark, sf):
@@ -122,6 +130,48 @@ def merged(spark, sf):
     return scd2_merge(scd2_versions(first, stock), first, second, stock)
 
 
+def _deliveries(spark: SparkSession, sf: str, with_end: bool = False):
+    """The history in two deliveries of which the second is about few establishments."""
+    history = derived.history(spark, sf, with_end)
+    late = (F.col("seq") % 50 == 0) & (F.col("siret").cast("long") % 5 == 0)
+    return history.filter(~late), history.filter(late)
+
+
+def merged_entrants(spark, sf):
+    """A stock that has gained and lost establishments between the deliveries."""
+    number = F.col("siret").cast("long")
+    stock, (first, second) = _stock(spark, sf), _deliveries(spark, sf)
+    before, after = stock.filter(number % 7 != 0), stock.filter(number % 11 != 0)
+    return scd2_merge(scd2_versions(first, before), first, second, after)
+
+
+def merged_departement(spark, sf):
+    """Only one department is merged; the others keep the versions of the first delivery."""
+    first, second = _deliveries(spark, sf)
+    versions = scd2_versions(first, _stock(spark, sf))
+    stock = _stock(spark, sf, [DEPARTEMENT])
+    return scd2_merge(versions, first, second, stock, departements=[DEPARTEMENT])
+
+
+def merged_as_of(spark, sf, rules):
+    """A merge on a later day than the first load's, whose date bounds were narrower."""
+    stock, (first, second) = _stock(spark, sf), _deliveries(spark, sf, with_end=True)
+    before, now = preset(rules, EARLY), preset(rules, AS_OF)
+    versions = scd2_versions(first, stock, **before)
+    return scd2_merge(versions, first, second, stock, previous=before, **now)
+
+
+def snapshot_moved(spark, sf):
+    """Observed states with another commune and band for some establishments, none for others."""
+    stock, (first, second) = _stock(spark, sf), _months(spark, sf)
+    whole = scd2_versions(first.unionByName(second), stock).filter("is_current")
+    number = F.col("siret").cast("long")
+    moved = F.when(number % 3 == 0, "75001").otherwise(F.col("code_commune"))
+    band = F.when(number % 4 == 0, "53").otherwise(F.col("code_tranche"))
+    state = whole.filter(number % 5 != 0).withColumns({"code_commune": moved, "code_tranche": band})
+    return scd2_snapshot(scd2_versions(first, stock), state, AS_OF)
+
+
 def snapshot(spark, sf):
     """Versions of the first delivery, then every current state observed on one day."""
     stock, (first, second) = _stock(spark, sf), _months(spark, sf)
@@ -195,9 +245,15 @@ def queries() -> dict[str, Query]:
         "normalize_members": normalize_members,
         "insert_if_absent": insert_if_absent,
         "scd2_merge": merged,
+        "scd2_merge_entrants": merged_entrants,
+        "scd2_merge_departement": merged_departement,
+        "scd2_merge_as_of_a": lambda s, sf: merged_as_of(s, sf, "shipped_a"),
+        "scd2_merge_as_of_b": lambda s, sf: merged_as_of(s, sf, "shipped_b"),
         "scd2_snapshot": snapshot,
+        "scd2_snapshot_moved": snapshot_moved,
         "quality_bounds": lambda s, sf: quality.date_bounds(_retained(s, sf)),
         "quality_anomalies": lambda s, sf: quality.date_anomalies(_retained(s, sf), AS_OF),
+        "quality_report": lambda s, sf: quality.quality_report(_retained(s, sf), AS_OF),
         "integrity_report": integrity_report,
         "raw_key_report": raw_key_report,
         "dup_check": lambda s, sf: integrity.distinct_check(

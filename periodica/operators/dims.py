@@ -43,8 +43,9 @@ def dim_activite(history: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return first_per_key(pairs, ["code_ape"], order).select("code_ape", "nomenclature")
 
 
-def dim_commune(stock: DataFrame, overseas: bool = False) -> DataFrame:
-    """One label per commune, the least; NULL only where the commune has no other."""
+def dim_commune(stock: DataFrame, overseas: bool = True) -> DataFrame:
+    """One label per commune, the least; NULL only where the commune has no other. The department is
+    the fact's: three characters overseas."""
     return mart_dim_commune(stock).withColumn(
         "code_departement", departement_of("code_commune", overseas)
     )

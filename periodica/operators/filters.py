@@ -35,8 +35,7 @@ def _within(column: str, bounds: Bounds | None, keep_null: bool) -> Column:
     return test | date.isNull() if keep_null else test & date.isNotNull()
 
 
-def plausible_dates(
-    history: DataFrame,
+def plausible_test(
     start_bounds: Bounds | None = None,
     end_bounds: Bounds | None = None,
     *,
@@ -44,14 +43,24 @@ def plausible_dates(
     keep_null_end: bool = True,
     start: str = "date_debut",
     end: str = "date_fin",
-) -> DataFrame:
-    """Rows whose dates lie in the bounds; without bounds only the NULL policy applies."""
-    kept = history
+) -> Column:
+    """Whether both dates lie in the bounds; without bounds only the NULL policy applies."""
+    test = F.lit(True)
     if start_bounds is not None or not keep_null_start:
-        kept = kept.filter(_within(start, start_bounds, keep_null_start))
+        test = _within(start, start_bounds, keep_null_start)
     if end_bounds is not None or not keep_null_end:
-        kept = kept.filter(_within(end, end_bounds, keep_null_end))
-    return kept
+        test = test & _within(end, end_bounds, keep_null_end)
+    return test
+
+
+def plausible_dates(
+    history: DataFrame,
+    start_bounds: Bounds | None = None,
+    end_bounds: Bounds | None = None,
+    **policy,
+) -> DataFrame:
+    """Rows that pass `plausible_test`."""
+    return history.filter(plausible_test(start_bounds, end_bounds, **policy))
 
 
 def starts_before(

@@ -7,25 +7,13 @@ from pyspark.sql import functions as F
 
 from periodica.operators.filters import diffusible, in_commune
 
-# A siret is a 14-character text; this many of them stay well below 200 MB when broadcast.
-BROADCAST_KEYS = 2_000_000
-
 
 def restrict_history(history: DataFrame, stock: DataFrame) -> DataFrame:
-    """Periods of the retained establishments (semi join)."""
+    """Periods of the retained establishments. The join has no hint: run-time sizes decide whether
+    the keys are sent to every executor, and a crowded establishment is split."""
     return history.join(stock.select("siret"), "siret", "left_semi")
 
 
-def few_keys(stock: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
-    """Runs one count: is the retained stock small enough to be sent to every executor?"""
-    return stock.count() <= limit
-
-
-def restrict_history_by_broadcast(history: DataFrame, stock: DataFrame) -> DataFrame:
-    """Semi join without moving the history; call it only where `few_keys` holds."""
-    return history.join(F.broadcast(stock.select("siret")), "siret", "left_semi")
-
-
 def stock_with_history(stock: DataFrame, history: DataFrame) -> DataFrame:
     """Left outer join: every establishment with its periods, or one row without a period.
 

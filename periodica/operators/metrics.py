@@ -29,8 +29,11 @@ def run_metrics(
     `periods` is a `dims.period_profile`.
     """
     if departements is not None:
-        test = in_departements("code_commune", departements)
-        dim_commune, fact = dim_commune.filter(test), fact.filter(test)
+        dim_commune = dim_commune.filter(in_departements("code_commune", departements))
+        # a stored fact is partitioned by department: only these directories are read
+        stored = "code_departement" in fact.columns
+        place = "code_departement" if stored else "code_commune"
+        fact = fact.filter(in_departements(place, departements))
     rows = F.count("*")
     parts = [
         _metrics(stock, siret_stock=rows),

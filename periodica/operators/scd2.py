@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from periodica.functions.dates import OLDEST_PLAUSIBLE, Bounds, exclusive_end
 from periodica.functions.members import UNKNOWN, normalize_history, normalize_stock
-from periodica.operators.filters import plausible_dates
-from periodica.operators.joins import BROADCAST_KEYS, few_keys, restrict_history_by_broadcast
+from periodica.functions.territory import in_departements
+from periodica.operators.filters import plausible_dates, plausible_test
 from periodica.operators.keys import first_per_key
 from periodica.schemas import FAIT
 
@@ -104,14 +104,12 @@ def scd2_versions(
     end_mode: str = "next_version",
     current_mode: str = "last_version",
     default_members: bool = False,
-    only: DataFrame | None = None,
     unique_starts: bool = False,
 ) -> DataFrame:
     """Version fact: a new version opens when a tracked column changes within an establishment.
 
     `stock` gives the current commune and band of the retained establishments; other establishments
     drop out. `tie_break` orders periods with the same start (`seq` where the history has it).
-    `only` (distinct keys) limits the work to some establishments, after step 1.
     `unique_starts` promises that no two periods of an establishment start on the same day; step 1
     and its shuffle are then left out. `integrity.duplicate_keys` checks the promise.
     """
@@ -129,8 +127,6 @@ def scd2_versions(
     if end_mode != "next_version" or current_mode == "open_period":
         values.append("date_fin")
     periods = dated_periods(kept, "date_debut", values, tie_break, unique_starts)
-    if only is not None:
-        periods = periods.join(only.withColumnRenamed(key, "siret"), "siret")
     runs = collapse_runs(periods, "date_debut", tracked)
 
     if end_mode == "next_version":
@@ -160,58 +156,95 @@ def with_stock(versions: DataFrame, stock: DataFrame) -> DataFrame:
     return joined.select(*[f.name for f in FAIT.fields])
 
 
+def _window_moved(periods: DataFrame, before: dict, now: dict) -> DataFrame:
+    """Periods that only one of two sets of date rules keeps."""
+
+    def kept(rules: dict) -> Column:
+        return plausible_test(
+            rules.get("start_bounds"),
+            rules.get("end_bounds"),
+            keep_null_end=rules.get("keep_null_end", True),
+            start=rules.get("start", "date_debut"),
+            end=rules.get("end", "date_fin"),
+        )
+
+    return periods.filter(~kept(before).eqNullSafe(kept(now)))
+
+
 def scd2_merge(
     versions: DataFrame,
     loaded: DataFrame,
     batch: DataFrame,
     stock: DataFrame,
     *,
-    broadcast_keys: int = BROADCAST_KEYS,
+    departements: Sequence[str] | None = None,
+    previous: dict | None = None,
     **rules,
 ) -> DataFrame:
     """Fact after new periods: equal to `scd2_versions` over `loaded` and `batch` together.
 
-    Only establishments with a new period are versioned again, from all their periods, so late
-    periods and periods inside a collapsed run come out right. The others keep their versions.
-    Both parts take the commune and band of `stock`, and lose the establishments no longer in it.
+    `loaded` are the periods of all establishments so far, in scope or not. Versioned again, from all
+    their periods, are the establishments with a new period, those that the stock has gained, and,
+    if `previous` (the rules of the last run) had other date bounds, those with a period that only
+    one of the two admits. The others keep their versions. All take the commune and band of `stock`,
+    and establishments no longer in it drop out.
 
-    Runs one count of the touched establishments: a few are sent to every executor and cut the
-    history inside its scan, more are joined after the periods are reduced.
+    With `departements`, `stock` is that of these departments only: versions elsewhere stay as they
+    are, but for those of establishments that have moved into one of the departments.
     """
+    key = rules.get("key", "siret")
     if rules.get("default_members"):
         stock = normalize_stock(stock)
-    touched = batch.select("siret").distinct()
-    kept = with_stock(versions.join(touched, "siret", "left_anti"), stock)
+    known = stock.withColumnRenamed(key, "siret")
     periods = loaded.unionByName(batch, allowMissingColumns=True)
-    if few_keys(touched, broadcast_keys):
-        periods = restrict_history_by_broadcast(periods, touched)
-    else:
-        rules = {**rules, "only": touched}
-    return kept.unionByName(scd2_versions(periods, stock, **rules))
+
+    entrants = known.select("siret").join(versions.select("siret"), "siret", "left_anti")
+    touched = batch.select(F.col(key).alias("siret")).union(entrants)
+    if previous is not None:
+        moved = _window_moved(loaded, previous, rules)
+        touched = touched.union(moved.select(F.col(key).alias("siret")))
+    touched = touched.distinct()
+
+    kept = with_stock(versions.join(touched, "siret", "left_anti"), known)
+    again = periods.join(touched.withColumnRenamed("siret", key), key, "left_semi")
+    merged = kept.unionByName(scd2_versions(again, stock, **rules))
+    if departements is None:
+        return merged
+    inside = F.coalesce(in_departements("code_commune", departements), F.lit(False))
+    elsewhere = versions.filter(~inside).join(known.select("siret"), "siret", "left_anti")
+    return elsewhere.select(merged.columns).unionByName(merged)
 
 
 def scd2_snapshot(versions: DataFrame, state: DataFrame, at: dt.date) -> DataFrame:
     """Fact after observing `state` (siret, code_ape, etat, code_commune, code_tranche) on `at`.
 
-    A changed establishment gets its version closed at `at` and a new one opened, an unchanged or
-    unobserved one stays as it is, a new one is opened. Versions ended by `at` cannot change and
-    are passed through without a shuffle; the version in force and any that start later are taken
-    together with the observation. A version that already starts on `at` wins over it.
+    A changed establishment gets its version closed at `at` and a new one opened, an unchanged one
+    keeps its versions, a new one is opened. Commune and band are current values: the observed ones
+    are spread over all versions of the establishment. An unobserved establishment passes through
+    untouched. Of several observations of an establishment the least in its values counts.
+
+    Versions ended by `at` cannot change; the version in force and any that start later are taken
+    together with the observation. A version that already starts on `at` wins over it. Versions end
+    where the next one starts (the decided rules).
     """
-    ended = F.col("valid_to").isNotNull() & (F.col("valid_to") <= F.lit(at))
     values = [*ATTRIBUTES, "code_commune", "code_tranche"]
-    live = versions.filter(~ended).select("siret", "valid_from", *values, F.lit(0).alias("rank"))
-    observed = state.select("siret", F.lit(at).alias("valid_from"), *values, F.lit(1).alias("rank"))
-    periods = dated_periods(live.unionByName(observed), "valid_from", values, ["rank"])
+    state = first_per_key(
+        state.select("siret", *values), ["siret"], [F.asc_nulls_last(c) for c in values]
+    )
+    unobserved = versions.join(state.select("siret"), "siret", "left_anti")
+    mine = versions.join(state.select("siret"), "siret", "left_semi")
+    ended = F.col("valid_to").isNotNull() & (F.col("valid_to") <= F.lit(at))
+    live = mine.filter(~ended).select("siret", "valid_from", *ATTRIBUTES, F.lit(0).alias("rank"))
+    observed = state.select("siret", F.lit(at).alias("valid_from"), *ATTRIBUTES, F.lit(1).alias("rank"))
+    periods = dated_periods(live.unionByName(observed), "valid_from", ATTRIBUTES, ["rank"])
     runs = collapse_runs(periods, "valid_from", ATTRIBUTES)
     after = runs.select(
         "siret",
         "valid_from",
         F.col("next_start").alias("valid_to"),
         F.col("next_start").isNull().alias("is_current"),
-        "code_commune",
-        "code_ape",
-        "code_tranche",
-        "etat",
+        *ATTRIBUTES,
     )
-    return versions.filter(ended).select(after.columns).unionByName(after)
+    after = mine.filter(ended).select(after.columns).unionByName(after)
+    attributes = state.withColumnRenamed("code_tranche", "tranche_effectifs")
+    return unobserved.select([f.name for f in FAIT.fields]).unionByName(with_stock(after, attributes))

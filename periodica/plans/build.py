@@ -11,13 +11,8 @@ from pyspark.sql import functions as F
 from periodica.functions.members import normalize_history, normalize_stock
 from periodica.functions.territory import in_departements
 from periodica.operators.dims import dim_activite, dim_commune, dim_date, period_profile
-from periodica.operators.integrity import integrity_report
-from periodica.operators.joins import (
-    BROADCAST_KEYS,
-    few_keys,
-    restrict_history,
-    restrict_history_by_broadcast,
-)
+from periodica.operators.integrity import IntegrityError, duplicate_keys, integrity_report
+from periodica.operators.joins import restrict_history
 from periodica.operators.metrics import run_metrics
 from periodica.operators.scd2 import preset, scd2_merge, scd2_versions
 from periodica.plans.warehouse import FACT, Warehouse
@@ -33,7 +28,6 @@ def build_warehouse(
     *,
     rules: str = "decided",
     as_of: dt.date | None = None,
-    broadcast_keys: int = BROADCAST_KEYS,
     unique_starts: bool = False,
     fail_on_violation: bool = False,
 ) -> DataFrame:
@@ -49,42 +43,52 @@ def build_warehouse(
     stock = scan_stock(spark, stock_path, departements)
     history = scan_history(spark, history_path)
 
-    # A small retained stock goes to every executor and cuts the history inside the scan. A large
-    # one is joined after the periods are reduced, where no establishment is crowded any more.
-    small = few_keys(stock, broadcast_keys)
-    if small:
-        retained = periods = restrict_history_by_broadcast(history, stock)
-    else:
-        retained, periods = restrict_history(history, stock), history
-
     options = preset(rules, as_of)
     warehouse = Warehouse(spark, root)
     warehouse.create_schema()
     warehouse.insert("dim_tranche_effectifs", headcount_bands(spark))
+    # the filtered stock and the counts serve several steps
+    stock = stock.persist()
+    retained = restrict_history(history, stock)
     profile = period_profile(retained).persist()
-    _insert_dims(warehouse, stock, profile, options, as_of)
-
-    fact = scd2_versions(periods, stock, unique_starts=unique_starts, **options)
-    verify = _strict(warehouse) if fail_on_violation else None
-    if departements is None:
-        if warehouse.publish(FACT, fact, verify=verify) == 0:
-            print("no version to publish")
-    elif fail_on_violation or options.get("default_members"):
-        # A whole new table: it can be verified before it is published, and the department of the
-        # unknown commune, which belongs to no single run, cannot be replaced.
-        outside = warehouse.read(FACT).filter(~_inside(departements))
-        others = outside.join(stock.select("siret"), "siret", "left_anti")
-        whole = others.select(fact.columns).unionByName(fact)
-        warehouse.publish(FACT, whole, allow_empty=True, verify=verify)
-    else:
-        warehouse.replace_departements(fact)
-        _drop_misplaced(warehouse, stock, departements)
-
-    tables = warehouse.tables()
-    metrics = run_metrics(stock, profile, tables["dim_commune"], tables[FACT], departements)
-    counted = spark.createDataFrame(metrics.collect(), metrics.schema)
-    profile.unpersist()
-    return counted
+    try:
+        if unique_starts:
+            _check_unique_starts(retained)
+        _insert_dims(warehouse, stock, profile, options, as_of)
+        fact = scd2_versions(retained, stock, unique_starts=unique_starts, **options)
+        verify = _strict(warehouse) if fail_on_violation else None
+        if departements is None:
+            if warehouse.publish(FACT, fact, verify=verify) == 0:
+                print("no version to publish")
+        elif fail_on_violation or options.get("default_members"):
+            # A whole new table: it can be verified before it is published, and the department of
+            # the unknown commune, which belongs to no single run, cannot be replaced.
+            outside = warehouse.read(FACT).filter(~_inside(departements))
+            others = outside.join(stock.select("siret"), "siret", "left_anti")
+            whole = others.select(fact.columns).unionByName(fact)
+            warehouse.publish(FACT, whole, allow_empty=True, verify=verify)
+        else:
+            warehouse.replace_departements(fact)
+            _drop_misplaced(warehouse, stock, departements)
+            if warehouse.read(FACT).filter(_inside(departements)).isEmpty():
+                print("no version to publish")
+        warehouse.note_load(rules, as_of)
+
+        tables = warehouse.tables()
+        metrics = run_metrics(stock, profile, tables["dim_commune"], tables[FACT], departements)
+        return spark.createDataFrame(metrics.collect(), metrics.schema)
+    finally:
+        profile.unpersist()
+        stock.unpersist()
+
+
+def _check_unique_starts(periods: DataFrame) -> None:
+    """Raise if the promise behind `unique_starts` is broken."""
+    dated = periods.filter(F.col("date_debut").isNotNull())
+    repeated = duplicate_keys(dated.withColumnRenamed("date_debut", "valid_from"), FACT)
+    found = repeated.limit(5).collect()
+    if found:
+        raise IntegrityError("starts are not unique: " + "; ".join(row["key"] for row in found))
 
 
 def _insert_dims(
@@ -105,7 +109,8 @@ def _strict(warehouse: Warehouse) -> Callable[[DataFrame], None]:
 
 
 def _inside(departements: list[str]) -> Column:
-    return F.coalesce(in_departements("code_commune", departements), F.lit(False))
+    """Stored versions of the departments: a test of the partition column."""
+    return F.coalesce(in_departements("code_departement", departements), F.lit(False))
 
 
 def _drop_misplaced(warehouse: Warehouse, stock: DataFrame, departements: list[str]) -> None:
@@ -113,13 +118,19 @@ def _drop_misplaced(warehouse: Warehouse, stock: DataFrame, departements: list[s
 
     These are versions of establishments no longer retained, in a department that has become empty,
     and old versions of establishments that moved into one of the departments from elsewhere. Both
-    are rare; only where there are some the table is written again.
+    are rare; only where there are some the table is written again. The first test reads the
+    departments' directories, the second only the keys of the others.
     """
-    retained = stock.select("siret", F.lit(True).alias("retained"))
-    flagged = warehouse.read(FACT).join(retained, "siret", "left")
-    misplaced = _inside(departements) != F.coalesce("retained", F.lit(False))
-    if not flagged.filter(misplaced).isEmpty():
-        warehouse.publish(FACT, flagged.filter(~misplaced), allow_empty=True)
+    inside, retained = _inside(departements), stock.select("siret")
+    stale = warehouse.read(FACT).filter(inside).join(retained, "siret", "left_anti")
+    moved = warehouse.read(FACT).filter(~inside).select("siret").join(retained, "siret", "left_semi")
+    if stale.isEmpty() and moved.isEmpty():
+        return
+    fact = warehouse.read(FACT)
+    right = fact.filter(inside).join(retained, "siret", "left_semi").unionByName(
+        fact.filter(~inside).join(retained, "siret", "left_anti")
+    )
+    warehouse.publish(FACT, right, allow_empty=True)
 
 
 def merge_month(
@@ -128,14 +139,33 @@ def merge_month(
     batch: DataFrame,
     stock: DataFrame,
     *,
+    departements: Iterable[str] | None = None,
     rules: str = "decided",
     as_of: dt.date | None = None,
 ) -> int:
-    """Bring new periods into a published warehouse; returns the number of versions."""
+    """Bring new periods into a published warehouse; returns the number of versions.
+
+    `loaded` are all periods so far, of all establishments: those that the stock has gained, or whose
+    dates the new `as_of` admits, are versioned from them too. The dimensions gain their rows as
+    well. The rules must be those of the last load.
+    """
     as_of = as_of or dt.date.today()
+    departements = None if departements is None else list(departements)
+    last = warehouse.last_load()
+    if last is not None and last[0] != rules:
+        raise ValueError(f"the warehouse was loaded under the rules {last[0]!r}")
     options = preset(rules, as_of)
-    profile = period_profile(restrict_history(batch, stock)).persist()
-    _insert_dims(warehouse, stock, profile, options, as_of)
-    profile.unpersist()
-    fact = scd2_merge(warehouse.read(FACT), loaded, batch, stock, **options)
-    return warehouse.publish(FACT, fact)
+    previous = None if last is None else preset(rules, last[1])
+    periods = loaded.unionByName(batch, allowMissingColumns=True)
+    profile = period_profile(restrict_history(periods, stock)).persist()
+    try:
+        _insert_dims(warehouse, stock, profile, options, as_of)
+    finally:
+        profile.unpersist()
+    fact = scd2_merge(
+        warehouse.read(FACT), loaded, batch, stock,
+        departements=departements, previous=previous, **options,
+    )
+    rows = warehouse.publish(FACT, fact)
+    warehouse.note_load(rules, as_of)
+    return rows

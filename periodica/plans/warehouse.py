@@ -7,6 +7,7 @@ One writer at a time.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ from periodica.schemas import PARTITION_COLUMN, PRIMARY_KEYS, TABLES, stored_sch
 
 FACT = "fait_etablissement_version"
 PUBLISHED = "table_name string, version int, row_count long"
+LOADS = "load int, rules string, as_of date"
 
 
 def with_departement(fact: DataFrame) -> DataFrame:
@@ -90,6 +92,41 @@ class Warehouse:
         line = self.spark.createDataFrame([(table, version, rows)], PUBLISHED)
         line.coalesce(1).write.mode("append").json(f"{self.root}/_published")
 
+    def _loads(self) -> list:
+        """One line per load."""
+        try:
+            return self.spark.read.schema(LOADS).json(f"{self.root}/_loads").collect()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+
+    def last_load(self) -> tuple[str, dt.date] | None:
+        """Rules and `as_of` of the last load."""
+        last = max(self._loads(), key=lambda row: row["load"], default=None)
+        return None if last is None else (last["rules"], last["as_of"])
+
+    def note_load(self, rules: str, as_of: dt.date) -> None:
+        number = max((row["load"] for row in self._loads()), default=0) + 1
+        line = self.spark.createDataFrame([(number, rules, as_of)], LOADS)
+        line.coalesce(1).write.mode("append").json(f"{self.root}/_loads")
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Delete all but the last `keep` versions of each table; returns how many went. What has
+        left the published table, an establishment that opted out among it, is then gone from disk.
+        Run it when no reader holds an older version."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        deleted = 0
+        for table, version in self._versions().items():
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+            files = folder.getFileSystem(conf)
+            for status in files.listStatus(folder):
+                name = status.getPath().getName()
+                if name[:1] == "v" and name[1:].isdigit() and int(name[1:]) <= version - keep:
+                    deleted += files.delete(status.getPath(), True)
+        return deleted
+
     def create_schema(self) -> None:
         """Create the tables that do not exist yet, empty."""
         existing = self._versions()

@@ -1,32 +1,31 @@
 """Loading a growing history folder chunk by chunk.
 
 New files are read as a stream, a fixed number per chunk, until none is left (`availableNow`). Each
-chunk goes through the same operators as a full build, so the result does not depend on how the
-files were cut, and a chunk repeated after a failure changes nothing.
+chunk goes through the same operators as a full build, so the fact does not depend on how the files
+were cut, and a chunk repeated after a failure changes nothing. A chunk decides which establishments
+are versioned again; their periods are read from the whole folder, so nothing of the history is kept
+in the warehouse. Dimensions only gain rows: a code keeps the nomenclature of the load that brought
+it, also when files that arrive later show another one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from periodica.plans.build import merge_month
 from periodica.plans.warehouse import Warehouse
 from periodica.schemas import HISTORY_NAMES, HISTORY_SOURCE
 from periodica.sources.register import headcount_bands, short_names
 
-KEPT_PERIODS = T.StructType([*HISTORY_SOURCE.fields, T.StructField("chunk", T.LongType())])
 
-
-def checkpoint_folder(spark: SparkSession, name: str) -> str:
-    """Folder below the shared one the session names in `spark.checkpoint.dir`."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        raise ValueError("spark.checkpoint.dir is not set, and no checkpoint folder was given")
-    return f"{shared.rstrip('/')}/{name}"
+def checkpoint_folder(root: str, history_path: str) -> str:
+    """Progress of one history folder into one warehouse: below the warehouse's root."""
+    name = hashlib.sha256(history_path.rstrip("/").encode()).hexdigest()[:16]
+    return f"{root.rstrip('/')}/_checkpoints/{name}"
 
 
 def load_chunks(
@@ -36,6 +35,7 @@ def load_chunks(
     root: str,
     *,
     files_per_chunk: int = 1,
+    departements: Iterable[str] | None = None,
     rules: str = "decided",
     as_of: dt.date | None = None,
     checkpoint: str | None = None,
@@ -44,18 +44,16 @@ def load_chunks(
     warehouse = Warehouse(spark, root)
     warehouse.create_schema()
     warehouse.insert("dim_tranche_effectifs", headcount_bands(spark))
-    kept = f"{warehouse.root}/_periods"
+    departements = None if departements is None else list(departements)
 
     def load(chunk: DataFrame, number: int) -> None:
-        chunk.write.mode("overwrite").parquet(f"{kept}/chunk={number}")
-        periods = spark.read.schema(KEPT_PERIODS).parquet(kept)
-        loaded = periods.filter(F.col("chunk") < number).drop("chunk")
-        batch = periods.filter(F.col("chunk") == number).drop("chunk")
+        whole = spark.read.schema(HISTORY_SOURCE).parquet(history_path)
         merge_month(
             warehouse,
-            short_names(loaded, HISTORY_NAMES),
-            short_names(batch, HISTORY_NAMES),
+            short_names(whole, HISTORY_NAMES),
+            short_names(chunk, HISTORY_NAMES),
             stock,
+            departements=departements,
             rules=rules,
             as_of=as_of,
         )
@@ -65,7 +63,7 @@ def load_chunks(
         .option("maxFilesPerTrigger", files_per_chunk)
         .parquet(history_path)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint or checkpoint_folder(spark, "load_chunks"))
+        .option("checkpointLocation", checkpoint or checkpoint_folder(root, history_path))
         .trigger(availableNow=True)
         .start()
     )

@@ -11,9 +11,10 @@ from periodica.operators import dims, quality
 from periodica.operators.integrity import IntegrityError, integrity_report
 from periodica.operators.joins import commune_sample, stock_with_history
 from periodica.operators.keys import insert_if_absent
+from periodica.operators.metrics import run_metrics
 from periodica.operators.scd2 import preset, scd2_versions
 from periodica.plans.models import MODELS, PERIODS_SOURCE, Run, materialize
-from periodica.plans.build import build_warehouse
+from periodica.plans.build import build_warehouse, merge_month
 from periodica.plans.warehouse import FACT, Warehouse, read_fact, write_fact
 from periodica.schemas import DIM_COMMUNE, HISTORY_SOURCE, PERIODES, STOCK_SOURCE, TABLES
 from periodica.sources import derived
@@ -197,12 +198,9 @@ def test_empty_schema_and_guard(spark, tmp_path):
     assert warehouse.read("dim_tranche_effectifs").count() == 16
 
 
-@pytest.mark.parametrize("broadcast_keys", [10_000, 0])
-def test_whole_country(spark, register, tmp_path, broadcast_keys):
+def test_whole_country(spark, register, tmp_path):
     root = str(tmp_path / "w")
-    report = build_warehouse(
-        spark, *register, root, as_of=AS_OF, broadcast_keys=broadcast_keys
-    )
+    report = build_warehouse(spark, *register, root, as_of=AS_OF)
     warehouse = Warehouse(spark, root)
     assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(spark, register)
     metrics = dict(map(tuple, report.collect()))
@@ -215,7 +213,7 @@ def test_whole_country(spark, register, tmp_path, broadcast_keys):
     }
     # the same run again changes nothing
     before = {t: rows(df) for t, df in warehouse.tables().items()}
-    build_warehouse(spark, *register, root, as_of=AS_OF, broadcast_keys=broadcast_keys)
+    build_warehouse(spark, *register, root, as_of=AS_OF)
     assert {t: rows(df) for t, df in warehouse.tables().items()} == before
 
 
@@ -331,7 +329,10 @@ def test_chunks_equal_one_build(spark, register, tmp_path, rules):
         as_of=AS_OF,
         checkpoint=str(tmp_path / "checkpoint"),
     )
-    assert spark.read.parquet(f"{root}/_periods").select("chunk").distinct().count() > 1
+    # nothing of the history, and so no establishment out of scope, lies in the warehouse
+    assert not list((tmp_path / "w").glob("_periods*"))
+    hidden = spark.read.parquet(register[0]).filter("statutDiffusionEtablissement = 'P'")
+    assert hidden.join(warehouse.read(FACT), "siret").isEmpty() and not hidden.isEmpty()
     assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(
         spark, register, rules=rules
     )
@@ -340,9 +341,9 @@ def test_chunks_equal_one_build(spark, register, tmp_path, rules):
 
 
 def test_chunks_again(spark, register, tmp_path):
-    """The checkpoint lies in the shared folder; without a new file nothing happens."""
-    stock, root = scan_stock(spark, register[0]), str(tmp_path / "w")
-    for _ in range(2):
+    """Without a new file nothing happens; another warehouse has its own progress."""
+    stock = scan_stock(spark, register[0])
+    for root in [str(tmp_path / name) for name in ("w", "w", "other")]:
         warehouse = load_chunks(spark, register[1], stock, root, files_per_chunk=9, as_of=AS_OF)
         assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(spark, register)
 
@@ -388,3 +389,54 @@ def test_questions_in_sql(spark, register, tmp_path):
            JOIN dim_commune d ON f.code_commune = d.code_commune WHERE is_current"""
     )
     assert labels.first()[0] > 0
+
+
+def test_a_month_with_an_opt_in(spark, register, tmp_path):
+    """An establishment that the stock has gained gets its whole past with the next month."""
+    stock, root = scan_stock(spark, register[0]), str(tmp_path / "w")
+    history = scan_history(spark, register[1])
+    hidden = F.col("siret").cast("long") % 4 == 0
+    warehouse = Warehouse(spark, root)
+    warehouse.create_schema()
+    late = F.col("siret").cast("long") % 9 == 1
+    first, second = history.filter(~late), history.filter(late)
+    for loaded, batch, scope in ((first.limit(0), first, stock.filter(~hidden)), (first, second, stock)):
+        merge_month(warehouse, loaded, batch, scope, as_of=AS_OF)
+    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == expected_fact(spark, register)
+    with pytest.raises(ValueError):
+        merge_month(warehouse, first, second, stock, rules="shipped_b", as_of=AS_OF)
+    # opt-out: gone from the table with the next merge, from disk with the old versions
+    merge_month(warehouse, history, second.limit(0), stock.filter(~hidden), as_of=AS_OF)
+    assert warehouse.vacuum() > 0
+    files = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{FACT}")
+    assert files.filter(hidden).isEmpty() and not files.isEmpty()
+    assert warehouse.vacuum() == 0
+
+
+def test_merge_of_one_department_keeps_the_others(spark, register, tmp_path):
+    root = str(tmp_path / "w")
+    build_warehouse(spark, *register, root, ["69", "70"], as_of=AS_OF)
+    warehouse, history = Warehouse(spark, root), scan_history(spark, register[1])
+    before = rows(warehouse.read(FACT), *FACT_COLUMNS)
+    stock = scan_stock(spark, register[0], ["69"])
+    merge_month(warehouse, history, history.limit(20), stock, departements=["69"], as_of=AS_OF)
+    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == before
+
+
+def test_department_runs_read_their_directories(spark, register, tmp_path):
+    root = str(tmp_path / "w")
+    build_warehouse(spark, *register, root, ["69"], as_of=AS_OF)
+    fact = Warehouse(spark, root).read(FACT)
+    stock = scan_stock(spark, register[0], ["69"])
+    profile = dims.period_profile(scan_history(spark, register[1]))
+    report = run_metrics(stock, profile, dims.dim_commune(stock), fact, ["69"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "StartsWith(code_departement" in plan or "startswith(code_departement" in plan.lower()
+
+
+def test_unique_starts_are_checked(spark, tmp_path, register):
+    again = str(tmp_path / "history")
+    history = spark.read.parquet(register[1])
+    history.union(history.limit(3)).write.parquet(again)
+    with pytest.raises(IntegrityError):
+        build_warehouse(spark, register[0], again, str(tmp_path / "w"), as_of=AS_OF, unique_starts=True)
