@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,8 @@ from periodica.llm.suffix_order import running, suffix_ranks
 #: A repeat shares at least the first of these with its partner behind its first common boundary, and
 #: one that starts 127 - x bytes nearer to it x bytes more.
 REACHES = (P.LENGTH - P.BEFORE - P.BEHIND, 162, 194, 226, P.LENGTH - P.BEHIND, P.LENGTH)
+#: Names of this level cover nine phrases, mostly more than 400 bytes.
+LEVELS = 1
 BLOCK = 32
 BLOCKS = ("text", "high", "low", "last", "core", "hull1", "hull2")
 RUNS = (
@@ -145,12 +148,15 @@ def reached(runs: DataFrame) -> DataFrame:
     tell, seen from the neighbours in the order of all suffixes."""
     ordered = runs.filter("ordered")
     strings = ordered.select("text", "at", F.col("name").alias("sym"), F.col("size").cast("long"))
-    ranks = suffix_ranks(strings, P.LENGTH)
+    ranks = suffix_ranks(strings, P.LENGTH, LEVELS)
     keys = [*(f"key{c}" for c in REACHES), "second"]
     # a place that only repeats the next one is represented by the last of them
     compared = ordered.filter("base").select("text", "at", *keys)
     groups = ranks.join(compared, ["text", "at"]).groupBy("rank")
-    groups = stored(groups.agg(F.count("*").alias("n"), *[F.min(k).alias(k) for k in keys]))
+    # places that share a rank for want of bytes in nine phrases may differ further on
+    same = [(F.min(k).eqNullSafe(F.max(k))) & (F.count(k).isin(0, F.count("*"))) for k in keys]
+    alike = reduce(lambda a, b: a & b, same).alias("alike")
+    groups = stored(groups.agg(F.count("*").alias("n"), alike, *[F.min(k).alias(k) for k in keys]))
     # ranks in order are neighbours: numbered, each is joined with the next
     numbers = running(groups.select("rank"), ["rank"], {"nth": F.lit(1).cast("long")})
     numbered = stored(groups.join(numbers, "rank"))
@@ -166,8 +172,11 @@ def reached(runs: DataFrame) -> DataFrame:
     both = pairs.union(pairs.select(F.col("nth") + 1, "shared"))
     both = both.groupBy("nth").agg(F.max("shared").alias("shared"))
     whole = shared([F.col(k).isNotNull() for k in keys[:-1]])
-    among = F.when(F.col("n") > 1, whole).otherwise(0)
-    reach = F.greatest(among, F.coalesce("shared", F.lit(0))).alias("reach")
+    # of these nothing is sure, and all starts before them are compared
+    among = F.when(~F.col("alike"), REACHES[-2]).when(F.col("n") > 1, whole).otherwise(0)
+    shared_most = F.coalesce("shared", F.lit(0))
+    shared_most = F.when(F.col("alike"), shared_most).otherwise(F.least(shared_most, F.lit(REACHES[-2])))
+    reach = F.greatest(among, shared_most).alias("reach")
     found = numbered.join(both, "nth", "left").select("rank", reach).filter("reach > 0")
     places = ranks.join(compared.select("text", "at"), ["text", "at"], "left_semi")
     places = places.join(found, "rank").select("text", "at", "reach")

@@ -62,9 +62,10 @@ def following(rows: DataFrame, column: str, steps: int) -> Column:
     return F.when(near, F.lead(column, steps).over(order))
 
 
-def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
+def suffix_ranks(strings: DataFrame, depth: int, levels: int = 64) -> DataFrame:
     """(text, at, rank) for `strings` (text, at, sym, size): how many suffixes are smaller. Suffixes
-    may share a rank if they are equal or agree in `depth` units of size."""
+    may share a rank if they are equal, agree in `depth` units of size, or in 3 ** (levels + 1)
+    symbols."""
     rows = strings.select(
         "text", "at", "sym", "size",
         following(strings, "sym", 1).alias("sym1"), following(strings, "sym", 2).alias("sym2"),
@@ -86,8 +87,8 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     # equal names that go on in the text and cover too little leave the order open
     goes_on = F.col("sym2").isNotNull() & (F.col("covers") < depth)
     open_names = named.groupBy("name").agg(F.count("*").alias("n"), F.max(goes_on).alias("goes_on"))
-    open_names = stored(open_names.filter("n > 1 and goes_on").select("name"))
-    if open_names.isEmpty():
+    open_names = open_names.filter("n > 1 and goes_on").select("name")
+    if levels == 0 or open_names.isEmpty():
         ranks = stored(named.select("text", "at", "kind", F.col("name").alias("rank")))
         return merged_ranks(rows, ranks)
     place = F.floor(F.col("at") / 3) + (F.col("kind") - 1) * APART
@@ -100,7 +101,7 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     order = Window.partitionBy("text").orderBy("at")
     after = (F.lag("at").over(order) == F.col("at") - 1) & F.lag("open").over(order)
     shorter = stored(shorter.withColumn("needed", F.coalesce(F.col("open"), after, F.lit(False))))
-    inner = suffix_ranks(shorter.filter("needed").select("text", "at", "sym", "size"), depth)
+    inner = suffix_ranks(shorter.filter("needed").select("text", "at", "sym", "size"), depth, levels - 1)
     inner = inner.withColumnRenamed("rank", "inner")
     joined = shorter.join(inner, ["text", "at"], "left").select(
         "text", F.col("place").alias("at"), "kind", F.col("sym").alias("name"), F.when(F.col("open"), F.col("inner")).alias("inner")
