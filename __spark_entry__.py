@@ -13,7 +13,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # the driver may load this file by its path
@@ -193,6 +193,44 @@ def integrity_report(spark, sf):
     )
 
 
+def integrity_seeded(spark, sf):
+    """The report on tables that break every rule somewhere."""
+    stock, history = _stock(spark, sf), derived.history(spark, sf, with_end=False)
+    profile = dims.period_profile(joins.restrict_history(history, stock))
+    number = F.col("siret").cast("long")
+
+    def spoilt(column: str, rest: int, value) -> Column:
+        return F.when(number % rest == 0, F.lit(value)).otherwise(F.col(column))
+
+    fact = scd2_versions(history, stock)
+    fact = fact.unionByName(fact.filter(number % 43 == 0)).withColumns(
+        {
+            "valid_from": spoilt("valid_from", 41, None).cast("date"),
+            "is_current": spoilt("is_current", 31, None).cast("boolean"),
+            "code_commune": spoilt("code_commune", 37, "00000"),
+            "code_ape": spoilt("code_ape", 47, "ZZ.ZZ"),
+        }
+    )
+    communes, code = dims.dim_commune(stock), F.col("code_commune")
+    communes = communes.unionByName(communes.filter(code == COMMUNE)).withColumns(
+        {
+            "code_commune": F.when(code == "60000", "60000XX").otherwise(code),
+            "libelle_commune": F.when(code != "61001", F.col("libelle_commune")),
+        }
+    )
+    activities = dims.dim_activite(profile, AS_OF)
+    named = F.when(F.col("code_ape") != "47.11F", F.col("nomenclature"))
+    return integrity.integrity_report(
+        {
+            "dim_commune": communes,
+            "dim_activite": activities.withColumn("nomenclature", named),
+            "dim_date": dims.dim_date(profile).filter("annee <> 1995"),
+            "dim_tranche_effectifs": headcount_bands(spark),
+            FACT: fact,
+        }
+    )
+
+
 def raw_key_report(spark, sf):
     """Periods that share their start date, before the versions are built."""
     raw = derived.history(spark, sf, with_end=False).withColumnRenamed("date_debut", "valid_from")
@@ -255,6 +293,7 @@ def queries() -> dict[str, Query]:
         "quality_anomalies": lambda s, sf: quality.date_anomalies(_retained(s, sf), AS_OF),
         "quality_report": lambda s, sf: quality.quality_report(_retained(s, sf), AS_OF),
         "integrity_report": integrity_report,
+        "integrity_seeded": integrity_seeded,
         "raw_key_report": raw_key_report,
         "dup_check": lambda s, sf: integrity.distinct_check(
             dims.dim_commune(_stock(s, sf)), "code_commune"
