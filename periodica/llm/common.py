@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +53,37 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
+    if scopes():
+        scopes()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+LOCAL = threading.local()
+
+
+def scopes() -> list[list[str]]:
+    """Paths of the scratch tables of the calls of `settled` that are under way in this thread."""
+    if not hasattr(LOCAL, "scopes"):
+        LOCAL.scopes = []
+    return LOCAL.scopes
+
+
+def settled(build: Callable[[], DataFrame]) -> DataFrame:
+    """Store what `build` returns; the scratch tables that it made on the way are deleted."""
+    scopes().append([])
+    try:
+        df = build()
+    finally:
+        made = scopes().pop()
+    out = stored(df)
+    spark = out.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return out
+
+
 def fan_out(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from periodica.llm import phrases as P
-from periodica.llm.common import fan_out, stored, table, texts
+from periodica.llm.common import fan_out, settled, stored, table, texts
 from periodica.llm.suffix_order import running, suffix_ranks
 
 #: A repeat shares at least the first of these with its partner behind its first common boundary, and
@@ -79,7 +79,8 @@ def phrase_rows(docs: DataFrame) -> DataFrame:
 def repeated(rows: DataFrame) -> DataFrame:
     """The phrases whose name occurs at two places or more."""
     often = rows.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
-    return rows.join(often, "name")
+    # different names: an even share of them in each task, so the phrases need no sort
+    return rows.join(often.hint("shuffle_hash"), "name")
 
 
 def by_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -365,10 +366,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     copied = sums.join(copies, "sha").select("text", "first_text")
     later = copied.filter(F.col("text") != F.col("first_text")).select("text").distinct()
 
-    cut = stored(phrase_rows(docs))
-    rows = repeated(cut).join(later, "text", "left_anti").dropDuplicates(["text", "place"])
-    runs = stored(runs_of(repeated(stored(rows))))
-    rows = stored(covered(reached(runs)))
+    def all_runs() -> DataFrame:
+        rows = repeated(stored(phrase_rows(docs))).join(later, "text", "left_anti")
+        return runs_of(repeated(stored(rows.dropDuplicates(["text", "place"]))))
+
+    runs = settled(all_runs)
+    rows = settled(lambda: covered(reached(runs)))
 
     chains = rows.filter("sure").groupBy("text", "chain").agg(
         F.min("pos").cast("long").alias("first"), (F.max("pos") + P.LENGTH - 1).cast("long").alias("last")

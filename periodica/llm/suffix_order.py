@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from periodica.llm.common import fan_out, stored
+from periodica.llm.common import fan_out, settled, stored
 
 #: Above any position; keeps the strings of the two sample classes of a text apart.
 APART = 1 << 40
@@ -52,7 +52,8 @@ def matched(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
         *[F.col(k).alias(f"{k}_known") for k in keys], *[c for c in known.columns if c not in keys]
     )
     same = [F.col(k).eqNullSafe(F.col(f"{k}_known")) for k in keys]
-    return rows.join(renamed, same).drop(*[f"{k}_known" for k in keys])
+    # different keys: an even share of them in each task, so the rows need no sort
+    return rows.join(renamed.hint("shuffle_hash"), same).drop(*[f"{k}_known" for k in keys])
 
 
 def following(rows: DataFrame, column: str, steps: int) -> Column:
@@ -66,6 +67,10 @@ def suffix_ranks(strings: DataFrame, depth: int, levels: int = 64) -> DataFrame:
     """(text, at, rank) for `strings` (text, at, sym, size): how many suffixes are smaller. Suffixes
     may share a rank if they are equal, agree in `depth` units of size, or in 3 ** (levels + 1)
     symbols."""
+    return settled(lambda: _suffix_ranks(strings, depth, levels))
+
+
+def _suffix_ranks(strings: DataFrame, depth: int, levels: int) -> DataFrame:
     rows = strings.select(
         "text", "at", "sym", "size",
         following(strings, "sym", 1).alias("sym1"), following(strings, "sym", 2).alias("sym2"),
@@ -140,4 +145,4 @@ def merged_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     of1 = of1.select("text", "at", (F.col("sample") + F.col("rest1")).alias("rank"))
     of2 = matched(matched(sampled.filter("kind = 2"), below2, keys2), below, ["rank"])
     of2 = of2.select("text", "at", (F.col("sample") + F.col("rest2")).alias("rank"))
-    return stored(plain.unionByName(of1).unionByName(of2))
+    return plain.unionByName(of1).unionByName(of2)
