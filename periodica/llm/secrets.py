@@ -1,7 +1,8 @@
 """Secret scan with a recursive decoding worklist.
 
 A text is scanned as it is (the base spans) and then unwrapped: percent escapes, Unicode escapes and
-character references of a layer give one decoded layer, every base64 token gives a layer of its own,
+character references of a layer give one decoded layer, every base64 token gives a layer of its own
+(lines that may belong together give one as a block, one without the last line and one for each line),
 and bytes that begin as gzip, zlib, bzip2, xz or zstandard data are expanded first. New layers join
 the worklist until none is left. A layer whose text was seen before in the same document is not
 followed again, so that data which unwraps to itself ends the work.
@@ -224,31 +225,40 @@ def rewritten(layer: Layer, pattern: re.Pattern, step: str, most: int) -> tuple[
     return whole, streams
 
 
+def block_parts(block: str) -> list[tuple[int, int]]:
+    """Where the readings of a base64 match lie: all of it, all but its last line, each line."""
+    parts = [(0, len(block))]
+    if "\n" in block:
+        lines = [(m.start(), m.end()) for m in re.finditer(r"[^\r\n]+", block)]
+        parts += [(0, lines[-2][1]), *lines]
+    return list(dict.fromkeys(parts))
+
+
 def base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
+    start, end = layer.spans()
     for m in BASE64.finditer(layer.text):
-        token = m[0].rstrip("=")
-        at = np.array([i for i, c in enumerate(token) if c not in "\r\n"]) if "\n" in token else None
-        code = token if at is None else "".join(token.split())
-        code = code[: len(code) - (len(code) % 4 == 1)]
-        try:
-            data = base64.b64decode(
-                code.replace("-", "+").replace("_", "/") + "=" * (-len(code) % 4), validate=True
-            )
-        except (binascii.Error, ValueError):
-            continue
-        head = data[:4]
-        packed = head[:2] == b"\x1f\x8b" or head == b"\x28\xb5\x2f\xfd" or head[:3] == b"BZh"
-        packed = packed or head == b"\xfd7zX" or head[:1] == b"\x78"
-        if not packed and readable(data) is None:
-            continue
-        start, end = layer.spans()
-        k = np.arange(len(data))
-        first, last = k * 8 // 6, np.minimum((k * 8 + 7) // 6, len(code) - 1)
-        if at is not None:
-            first, last = at[first], at[last]
-        yield bytes_layer(
-            data, start[m.start() + first], end[m.start() + last], layer.below("base64"), most
-        )
+        for a, b in block_parts(m[0]):
+            token = m[0][a:b].rstrip("=")
+            at = np.array([i for i, c in enumerate(token) if c not in "\r\n"]) if "\n" in token else None
+            code = token if at is None else "".join(token.split())
+            code = code[: len(code) - (len(code) % 4 == 1)]
+            try:
+                data = base64.b64decode(
+                    code.replace("-", "+").replace("_", "/") + "=" * (-len(code) % 4), validate=True
+                )
+            except (binascii.Error, ValueError):
+                continue
+            head = data[:4]
+            packed = head[:2] == b"\x1f\x8b" or head == b"\x28\xb5\x2f\xfd" or head[:3] == b"BZh"
+            packed = packed or head == b"\xfd7zX" or head[:1] == b"\x78"
+            if not packed and readable(data) is None:
+                continue
+            k = np.arange(len(data))
+            first, last = k * 8 // 6, np.minimum((k * 8 + 7) // 6, len(code) - 1)
+            if at is not None:
+                first, last = at[first], at[last]
+            first, last = first + m.start() + a, last + m.start() + a
+            yield bytes_layer(data, start[first], end[last], layer.below("base64"), most)
 
 
 def unwrapped(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list, int, int]:

@@ -80,6 +80,16 @@ def test_span_inside_a_layer():
     assert span == "assign:8:35"
 
 
+@pytest.mark.parametrize("after", ["The quick", "and so on", "x", "Zeile zwei\r\n", "a" * 70])
+def test_line_after_a_token(after):
+    code = base64.b64encode(b"-" * 40 + KEY.encode()).decode()
+    assert len(code) == 80
+    # 40 bytes end inside character 53
+    assert "assign:53:80" in spans(f"{code}\n{after}")
+    block = base64.encodebytes(b"-" * 100 + KEY.encode() + b"-" * 51).decode()
+    assert any(s.startswith("assign:134:") for s in spans(f"{block}{after}"))
+
+
 def test_cycles_and_oversize():
     assert secrets_of("%25" * 3)[6] == 1
     bomb = base64.b64encode(gzip.compress(b"0" * 100_000)).decode()
