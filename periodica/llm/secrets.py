@@ -12,8 +12,10 @@ in a layer is reported at the original code points that made it, under its kind.
 an expanded stream map to the whole stream.
 
 Defined results: null and empty texts have no spans. Nothing is skipped for length. A stream that
-expands beyond `max_layer_bytes` (64 MiB, against decompression bombs) is not followed but counted in
-`oversize`. Ids, ties and repeated rows play no part: each row has its own result, and other columns
+expands beyond `max_layer_bytes` (64 MiB) is counted in `oversize` and followed in windows of that
+size, each half over the one before, so that memory stays bounded; only an escape or token of more
+than half a window may be cut. There is no bound on what is expanded: a decompression bomb costs the
+time to read it. A broken or truncated stream is followed as far as it is sound. Ids, ties and repeated rows play no part: each row has its own result, and other columns
 are not read.
 """
 
@@ -26,8 +28,9 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -49,6 +52,8 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 
 MAX_LAYER_BYTES = 64 << 20
+#: how much a decompressor is given and gives at a time
+CHUNK = 1 << 16
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+"
@@ -105,35 +110,101 @@ class Layer:
         return f"{self.path}>{step}" if self.path else step
 
 
-class Oversize(Exception):
-    pass
+@dataclass
+class Tally:
+    #: streams followed, with their places: layers of several ways lead to the same one
+    streams: set = field(default_factory=set)
+    oversize: int = 0
+
+
+class Feed:
+    """Bytes that come in pieces."""
+
+    def __init__(self, pieces: Iterator[bytes]) -> None:
+        self.pieces, self.held = pieces, b""
+
+    def take(self, n: int) -> bytes:
+        parts, size = [self.held], len(self.held)
+        while size < n and (more := next(self.pieces, None)) is not None:
+            parts.append(more)
+            size += len(more)
+        data = b"".join(parts)
+        self.held = data[n:]
+        return data[:n]
+
+
+def cut(data: bytes) -> Iterator[bytes]:
+    return (data[i : i + CHUNK] for i in range(0, len(data), CHUNK))
 
 
-def expanded(data: bytes, most: int) -> tuple[str, bytes] | None:
-    """The format and content of a compressed stream; None if it is none."""
+def windows(pieces: Iterator[bytes], most: int) -> Iterator[bytes]:
+    """Windows of `most` bytes; each begins with the second half of the one before."""
+    feed, half = Feed(pieces), most // 2
+    window = feed.take(most)
+    yield window
+    while more := feed.take(most - half):
+        window = window[len(window) - half :] + more
+        yield window
+
+
+def form_of(data: bytes) -> str | None:
+    """The format that compressed data begins as."""
     if data[:2] == b"\x1f\x8b":
-        name, one = "gzip", zlib.decompressobj(31)
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        name, one = "zstd", None
-    elif data[:3] == b"BZh":
-        name, one = "bzip2", bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        name, one = "xz", lzma.LZMADecompressor()
-    elif len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-        name, one = "zlib", zlib.decompressobj()
+        return "gzip"
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        return "zstd"
+    if data[:3] == b"BZh":
+        return "bzip2"
+    if data[:6] == b"\xfd7zXZ\x00":
+        return "xz"
+    if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
+        return "zlib"
+    return None
+
+
+DECOMPRESSORS = {
+    "gzip": lambda: zlib.decompressobj(31),
+    "zstd": lambda: zstandard.ZstdDecompressor().decompressobj(),
+    "bzip2": bz2.BZ2Decompressor,
+    "xz": lzma.LZMADecompressor,
+    "zlib": zlib.decompressobj,
+}
+UNSOUND = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
+
+
+def portions(name: str, one, data: bytes) -> Iterator[bytes]:
+    """What a decompressor makes of `data`, some CHUNK bytes at a time."""
+    if name == "zstd":
+        yield one.decompress(data)
+    elif name in ("gzip", "zlib"):
+        while data and not one.eof:
+            yield one.decompress(data, CHUNK)
+            data = one.unconsumed_tail
+        while not one.eof and (more := one.decompress(b"", CHUNK)):
+            yield more
     else:
-        return None
+        yield one.decompress(data, CHUNK)
+        while not one.eof and not one.needs_input:
+            yield one.decompress(b"", CHUNK)
+
+
+def expanded(feed: Feed) -> Iterator[bytes]:
+    """The content of the stream that `feed` begins with, as far as it is sound."""
+    feed.held = feed.take(CHUNK)
+    if (name := form_of(feed.held)) is None:
+        return
+    one = DECOMPRESSORS[name]()
+    # zstandard gives all at once: 32 MiB at most for this much
+    step = CHUNK // 64 if name == "zstd" else CHUNK
     try:
-        if one is None:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(most + 1)
-        else:
-            out = one.decompress(data, most + 1)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        return None
-    if len(out) > most:
-        raise Oversize
-    return name, out
+        while not one.eof and (data := feed.take(step)):
+            yield from (x for x in portions(name, one, data) if x)
+    except UNSOUND:
+        return
+
+
+def is_stream(data: bytes) -> bool:
+    return form_of(data) is not None and any(expanded(Feed(cut(data))))
 
 
 def readable(data: bytes) -> str | None:
@@ -144,14 +215,7 @@ def readable(data: bytes) -> str | None:
     return None if CONTROL.search(text) else text
 
 
-def bytes_layer(
-    data: bytes, start: np.ndarray, end: np.ndarray, path: str, most: int
-) -> Layer | None:
-    """A layer of decoded bytes with their sources; expands compressed streams on the way."""
-    while (inner := expanded(data, most)) is not None:
-        name, data = inner
-        path = f"{path}>{name}"
-        start, end = (np.full(len(data), f) for f in (start[0], end[-1]))
+def text_layer(data: bytes, start: np.ndarray, end: np.ndarray, path: str) -> Layer | None:
     text = readable(data)
     if not text:
         return None
@@ -162,6 +226,40 @@ def bytes_layer(
     return Layer(text, start, end, path)
 
 
+def bytes_layers(
+    data: bytes, start: np.ndarray, end: np.ndarray, path: str, most: int, tally: Tally
+) -> Iterator[Layer]:
+    """The layers of decoded bytes with their sources; expands compressed streams on the way."""
+    if not is_stream(data):
+        if (one := text_layer(data, start, end, path)) is not None:
+            yield one
+        return
+    source, known = (start[0], end[-1]), set()
+    key = (*source, hashlib.sha256(data).digest())
+    if key in tally.streams:
+        return
+    tally.streams.add(key)
+    pieces: Callable[[], Iterator[bytes]] = partial(cut, data)
+    while True:
+        # a stream of any size is read anew for each use, so that only windows of it are held
+        path = f"{path}>{form_of(Feed(pieces()).take(CHUNK))}"
+        pieces = partial(lambda outer: expanded(Feed(outer())), pieces)
+        head = Feed(pieces()).take(most + 1)
+        if len(head) <= most:
+            if (key := hashlib.sha256(head).digest()) in known:
+                return
+            known.add(key)
+            pieces = partial(cut, head)
+        else:
+            tally.oversize += 1
+        if form_of(head) is None or not any(expanded(Feed(pieces()))):
+            break
+    for window in windows(pieces(), most):
+        places = (np.full(len(window), x) for x in source)
+        if (one := text_layer(window, *places, path)) is not None:
+            yield one
+
+
 def percent_piece(token: str) -> bytes:
     return bytes.fromhex(token.replace("%", ""))
 
@@ -184,8 +282,8 @@ def unicode_piece(token: str) -> tuple[str, int] | bytes | None:
         return None
 
 
-def rewritten(layer: Layer, pattern: re.Pattern, step: str, most: int) -> tuple[Layer | None, list]:
-    """The layer with all escapes of `pattern` decoded, and layers of streams inside them."""
+def rewritten(layer: Layer, pattern: re.Pattern, step: str) -> tuple[Layer | None, list]:
+    """The layer with all escapes of `pattern` decoded, and the streams inside them: (data, start, end)."""
     if pattern is PERCENT and "%" not in layer.text:
         return None, []
     if pattern is UNICODE and "\\" not in layer.text and "&#" not in layer.text:
@@ -199,10 +297,10 @@ def rewritten(layer: Layer, pattern: re.Pattern, step: str, most: int) -> tuple[
         if isinstance(piece, bytes):
             width = (m.end() - m.start()) // len(piece)
             first = m.start() + width * np.arange(len(piece))
-            one = bytes_layer(piece, start[first], end[first + width - 1], layer.below(step), most)
-            if one is not None and ">" in one.path[len(layer.below(step)) :]:
-                streams.append(one)
+            if is_stream(piece):
+                streams.append((piece, start[first], end[first + width - 1]))
                 continue
+            one = text_layer(piece, start[first], end[first + width - 1], layer.below(step))
             if one is None:
                 continue
             text, s, e = one.text, one.start, one.end
@@ -234,7 +332,7 @@ def block_parts(block: str) -> list[tuple[int, int]]:
     return list(dict.fromkeys(parts))
 
 
-def base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
+def base64_layers(layer: Layer, most: int, tally: Tally) -> Iterator[Layer]:
     start, end = layer.spans()
     for m in BASE64.finditer(layer.text):
         for a, b in block_parts(m[0]):
@@ -248,55 +346,45 @@ def base64_layers(layer: Layer, most: int) -> Iterator[Layer | None]:
                 )
             except (binascii.Error, ValueError):
                 continue
-            head = data[:4]
-            packed = head[:2] == b"\x1f\x8b" or head == b"\x28\xb5\x2f\xfd" or head[:3] == b"BZh"
-            packed = packed or head == b"\xfd7zX" or head[:1] == b"\x78"
-            if not packed and readable(data) is None:
+            if form_of(data) is None and readable(data) is None:
                 continue
             k = np.arange(len(data))
             first, last = k * 8 // 6, np.minimum((k * 8 + 7) // 6, len(code) - 1)
             if at is not None:
                 first, last = at[first], at[last]
             first, last = first + m.start() + a, last + m.start() + a
-            yield bytes_layer(data, start[first], end[last], layer.below("base64"), most)
+            yield from bytes_layers(data, start[first], end[last], layer.below("base64"), most, tally)
+
+
+def layers_below(layer: Layer, most: int, tally: Tally) -> Iterator[Layer]:
+    for pattern, step in ((PERCENT, "url"), (UNICODE, "unicode")):
+        whole, streams = rewritten(layer, pattern, step)
+        for data, start, end in streams:
+            yield from bytes_layers(data, start, end, layer.below(step), most, tally)
+        if whole is not None:
+            yield whole
+    yield from base64_layers(layer, most, tally)
 
 
 def unwrapped(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list, int, int]:
-    """All (kind, start, end, path) below the base layer; number of layers; streams too large."""
-    found, seen, oversize = [], {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}, 0
-    work, layers = [Layer(text)], 0
+    """All (kind, start, end, path) below the base layer; number of layers; streams read in windows."""
+    found: dict[tuple, None] = {}
+    seen, tally, layers = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}, Tally(), 0
+    # depth first, so that only one layer of each depth is held
+    work = [layers_below(Layer(text), most, tally)]
     while work:
-        layer = work.pop()
-        below: list[Layer] = []
-        for pattern, step in ((PERCENT, "url"), (UNICODE, "unicode")):
-            try:
-                whole, streams = rewritten(layer, pattern, step, most)
-                below += [*streams, *([whole] if whole else [])]
-            except Oversize:
-                oversize += 1
-        tokens = base64_layers(layer, most)
-        while True:
-            try:
-                one = next(tokens, False)
-            except Oversize:
-                oversize += 1
-                tokens = iter(())
-                continue
-            if one is False:
-                break
-            if one is not None:
-                below.append(one)
-        for one in below:
-            key = hashlib.sha256(one.text.encode("utf-8", "surrogatepass")).digest()
-            if key in seen:
-                # the same text from another place: report it there, don't follow it again
-                found += [(k, *one.origin(a, b), one.path) for k, a, b in scan(one.text)]
-                continue
+        one = next(work[-1], None)
+        if one is None:
+            work.pop()
+            continue
+        found |= dict.fromkeys((k, *one.origin(a, b), one.path) for k, a, b in scan(one.text))
+        key = hashlib.sha256(one.text.encode("utf-8", "surrogatepass")).digest()
+        # the same text from another place: reported there, not followed again
+        if key not in seen:
             seen.add(key)
             layers += 1
-            found += [(k, *one.origin(a, b), one.path) for k, a, b in scan(one.text)]
-            work.append(one)
-    return found, layers, oversize
+            work.append(layers_below(one, most, tally))
+    return list(found), layers, tally.oversize
 
 
 def in_order(spans: set) -> list:
