@@ -105,3 +105,38 @@ def test_defined_results(spark):
     assert {r.copies for r in nothing.collect()} == {0}
     again = sorted((r.doc_id or 0, r.copies) for r in mixed(docs.repartition(3), targets, 2.0).collect())
     assert again == sorted((r.doc_id or 0, r.copies) for r in got.collect())
+
+
+def test_what_is_not_listed_keeps_its_share(spark):
+    words = "w " * 100
+    rows = [(i, words, "web" if i % 4 else None, "nl" if i % 5 else None) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = mixed(docs, budget_share=0.8).collect()
+    assert all(r.rate == pytest.approx(0.8) for r in got)
+    assert sum(r.copies for r in got) == pytest.approx(800, abs=60)
+    assert sampled(docs).count() == pytest.approx(800, abs=60)
+    # what is listed meets its targets within the rest
+    cells = [
+        (source, lang, "prose", tokens)
+        for source, tokens in [("src0", 300), ("src1", 100), (OTHER, 400)]
+        for lang in ("en", "de", OTHER)
+    ]
+    mix = fit(cells, PRODUCTION)
+    share = Counter()
+    for source, lang, _, _, part, _ in mix.rows:
+        share[source] += part
+        share[lang, "lang"] += part
+    assert mix.error < 1e-9
+    assert (share[OTHER], share[OTHER, "lang"]) == pytest.approx((1 / 2, 1 / 3))
+    assert share["src0"] / share["src1"] == pytest.approx(0.20 / (0.80 / 19))
+    assert share["en", "lang"] / share["de", "lang"] == pytest.approx(0.55 / 0.17)
+
+
+def test_the_error_is_told(spark, caplog):
+    docs = spark.createDataFrame([(i, "a b", "xy"[i > 0], "en") for i in range(9)], "doc_id long, text string, source string, lang string")
+    targets = {"source": {"x": 0.9, "y": 0.1}}
+    out = mixed(docs, targets, repeats=False)
+    assert out.columns[-2:] == ["error", "copies"]
+    assert {r.error > 0.5 for r in out.collect()} == {True}
+    assert "can't be reached" in caplog.text
+    assert all(r.error < 1e-9 for r in mixed(docs, targets).collect())
