@@ -7,6 +7,10 @@ and bytes that begin as gzip, zlib, bzip2, xz or zstandard data are expanded fir
 the worklist until none is left. A layer whose text was seen before in the same document is not
 followed again, so that data which unwraps to itself ends the work.
 
+Decoded bytes are read without loss: UTF-8 as code points, every other byte as a separator, and runs of
+ASCII in UTF-16 (either byte order) as one more layer. Layers that hold control characters or such
+separators and neither a finding nor anything coded are left out of `n_layers`.
+
 Every layer carries, per code point, the start and end in the original text it came from; a finding
 in a layer is reported at the original code points that made it, under its kind. All code points of
 an expanded stream map to the whole stream.
@@ -52,6 +56,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 
 MAX_LAYER_BYTES = 64 << 20
+REWRITING = ("url", "unicode", "utf16")
 #: how much a decompressor is given and gives at a time
 CHUNK = 1 << 16
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
@@ -63,7 +68,10 @@ UNICODE = re.compile(
 BASE64 = re.compile(
     r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/_-]{60,}\r?\n)+[A-Za-z0-9+/_-]+|[A-Za-z0-9+/_-]{16,})={0,2}"
 )
-CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f�]")
+# ASCII in UTF-16 of either byte order, long enough for a finding
+WIDE = re.compile(r"\x00?(?:[\t\n\r\x20-\x7e]\x00){6,}[\t\n\r\x20-\x7e]?")
+CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f�\ud800-\udfff]")
+CODED = re.compile("|".join(x.pattern for x in (PERCENT, UNICODE, BASE64, WIDE)))
 
 SCHEMA = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
@@ -207,23 +215,35 @@ def is_stream(data: bytes) -> bool:
     return form_of(data) is not None and any(expanded(Feed(cut(data))))
 
 
-def readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if CONTROL.search(text) else text
+def lossless(data: bytes) -> str:
+    """UTF-8 as code points; each other byte as a lone surrogate, which no pattern takes."""
+    return data.decode("utf-8", "surrogateescape")
 
 
-def text_layer(data: bytes, start: np.ndarray, end: np.ndarray, path: str) -> Layer | None:
-    text = readable(data)
-    if not text:
-        return None
+def plain(text: str) -> bool:
+    return not CONTROL.search(text)
+
+
+def worth(text: str) -> bool:
+    """Whether there is anything to find in a layer or below it."""
+    return bool(text) and (plain(text) or bool(CODED.search(text)) or bool(scan(text)))
+
+
+def decoded(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
+    """Decoded bytes as text, with the source of each code point."""
+    text = lossless(data)
     if len(text) < len(data):
         # first and last byte of each code point
-        first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-        start, end = start[first], end[np.r_[first[1:], len(data)] - 1]
-    return Layer(text, start, end, path)
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+        size[(code >= 0xDC80) & (code <= 0xDCFF)] = 1
+        last = np.cumsum(size) - 1
+        start, end = start[last - size + 1], end[last]
+    return text, start, end
+
+
+def text_layer(data: bytes, start: np.ndarray, end: np.ndarray, path: str) -> Layer | None:
+    return Layer(*decoded(data, start, end), path) if worth(lossless(data)) else None
 
 
 def bytes_layers(
@@ -272,26 +292,45 @@ def unicode_piece(token: str) -> tuple[str, int] | bytes | None:
         if token.startswith("\\u{"):
             return chr(int(token[3:-1], 16)), len(token)
         if token.startswith("\\u"):
-            units = bytes.fromhex(token.replace("\\u", ""))
-            return units.decode("utf-16-be"), 6
+            units = bytes.fromhex(token.replace("\\u", "")).decode("utf-16-be", "surrogatepass")
+            # lone surrogates separate, as they do in `lossless`
+            return None if all("\ud800" <= c <= "\udfff" for c in units) else (units, 6)
         if token.startswith("\\U"):
             return chr(int(token[2:], 16)), len(token)
         number = int(token[3:-1], 16) if token[2] in "xX" else int(token[2:-1])
         return chr(number), len(token)
-    except (ValueError, OverflowError, UnicodeDecodeError):
+    except (ValueError, OverflowError):
         return None
 
 
+def wide_piece(token: str, at: int | None) -> tuple[str, np.ndarray, np.ndarray]:
+    """The characters of a UTF-16 run of either byte order, and where each begins and ends.
+
+    A run between two zeros or two characters is of either order: its place `at` in the decoded bytes
+    tells; where that isn't known, both neighbours count to a character."""
+    skip = int(token[0] == "\x00")
+    first = np.arange(skip, len(token), 2)
+    sure = skip != (token[-1] == "\x00")
+    big = skip if sure else None if at is None else (at + skip) % 2
+    before, after = first - (big != 0), first + 1 + (big != 1)
+    return token[skip::2], np.maximum(before, 0), np.minimum(after, len(token))
+
+
 def rewritten(layer: Layer, pattern: re.Pattern, step: str) -> tuple[Layer | None, list]:
     """The layer with all escapes of `pattern` decoded, and the streams inside them: (data, start, end)."""
     if pattern is PERCENT and "%" not in layer.text:
         return None, []
     if pattern is UNICODE and "\\" not in layer.text and "&#" not in layer.text:
         return None, []
+    if pattern is WIDE and "\x00" not in layer.text:
+        return None, []
     start, end = layer.spans()
     parts, starts, ends, streams, at, changed = [], [], [], [], 0, False
     for m in pattern.finditer(layer.text):
-        piece = percent_piece(m[0]) if pattern is PERCENT else unicode_piece(m[0])
+        if pattern is WIDE:
+            piece = wide_piece(m[0], None if layer.path.endswith(REWRITING) else m.start())
+        else:
+            piece = percent_piece(m[0]) if pattern is PERCENT else unicode_piece(m[0])
         if piece is None:
             continue
         if isinstance(piece, bytes):
@@ -300,10 +339,9 @@ def rewritten(layer: Layer, pattern: re.Pattern, step: str) -> tuple[Layer | Non
             if is_stream(piece):
                 streams.append((piece, start[first], end[first + width - 1]))
                 continue
-            one = text_layer(piece, start[first], end[first + width - 1], layer.below(step))
-            if one is None:
-                continue
-            text, s, e = one.text, one.start, one.end
+            text, s, e = decoded(piece, start[first], end[first + width - 1])
+        elif pattern is WIDE:
+            text, s, e = piece[0], start[m.start() + piece[1]], end[m.start() + piece[2] - 1]
         else:
             text, width = piece
             units = np.array([1 + (ord(c) > 0xFFFF and width == 6) for c in text])
@@ -346,7 +384,7 @@ def base64_layers(layer: Layer, most: int, tally: Tally) -> Iterator[Layer]:
                 )
             except (binascii.Error, ValueError):
                 continue
-            if form_of(data) is None and readable(data) is None:
+            if form_of(data) is None and not worth(lossless(data)):
                 continue
             k = np.arange(len(data))
             first, last = k * 8 // 6, np.minimum((k * 8 + 7) // 6, len(code) - 1)
@@ -357,7 +395,7 @@ def base64_layers(layer: Layer, most: int, tally: Tally) -> Iterator[Layer]:
 
 
 def layers_below(layer: Layer, most: int, tally: Tally) -> Iterator[Layer]:
-    for pattern, step in ((PERCENT, "url"), (UNICODE, "unicode")):
+    for pattern, step in ((PERCENT, "url"), (UNICODE, "unicode"), (WIDE, "utf16")):
         whole, streams = rewritten(layer, pattern, step)
         for data, start, end in streams:
             yield from bytes_layers(data, start, end, layer.below(step), most, tally)

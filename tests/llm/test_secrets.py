@@ -126,6 +126,38 @@ def test_large_streams_hide_nothing(pack):
     assert {"assign", "access"} <= {s.split(":")[0] for s in spans_within(twice, 1000)}
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "Schlüssel für alle: ".encode("latin-1") + KEY.encode(), b"\x1b[31m" + KEY.encode() + b"\x1b[0m",
+        b"\x00\x01\x7f" + KEY.encode() + b"\x00\xff", "\ufffd".encode() + KEY.encode(),
+        KEY.encode("utf-16-le"), KEY.encode("utf-16-be"), f"é: {KEY}é".encode("utf-16"), f"Ā€{KEY}".encode("utf-16-be"),
+        f"é{KEY}é".encode("utf-16-be"),
+    ],
+)
+def test_layers_that_are_not_plain(body):
+    for code in ("ascii", "utf-16-le", "utf-16-be"):
+        if (at := body.find(KEY.encode(code))) >= 0 and (code != "utf-16-le" or at % 2 == 0):
+            break
+    size = len(KEY.encode(code))
+    got = spans(base64.b64encode(body).decode())
+    assert f"assign:{at * 8 // 6}:{-(-(at + size) * 8 // 6)}" in got
+    run = "".join(f"%{b:02x}" for b in body)
+    # in a run of escapes the byte order may stay open: one more byte then
+    starts, ends = zip(*(map(int, s.split(":")[1:]) for s in spans(f"x {run} y") if s.startswith("assign")))
+    wide = 3 * (code != "ascii")
+    assert 3 * at + 2 - wide <= min(starts) <= 3 * at + 2
+    assert 3 * (at + size) + 2 <= max(ends) <= 3 * (at + size) + 2 + wide
+    packed = base64.b64encode(gzip.compress(body)).decode()
+    assert any(s.startswith("assign:0:") for s in spans(packed))
+
+
+def test_lone_surrogate_in_a_run():
+    run = "".join(f"\\u{ord(c):04x}" for c in KEY)
+    assert spans("\\ud800" + run) == ["assign:6:126"]
+    assert spans("\\ud83d\\ude00" + run) == ["assign:12:132"]
+
+
 def test_rows(spark):
     rows = [(1, None, "a"), (None, "", "b"), (2, KEY, "c"), (2, KEY, "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
