@@ -4,8 +4,10 @@ A text is scanned as it is (the base spans) and then unwrapped: percent escapes,
 character references of a layer give one decoded layer, every base64 token gives a layer of its own
 (lines that may belong together give one as a block, one without the last line and one for each line),
 and bytes that begin as gzip, zlib, bzip2, xz or zstandard data are expanded first. New layers join
-the worklist until none is left. A layer whose text was seen before in the same document is not
-followed again, so that data which unwraps to itself ends the work.
+the worklist until none is left. A layer whose text was seen before from the same place, code point by
+code point, is not followed again: that joins layers reached by several ways and ends data which
+unwraps to itself, as such data is expanded and all of it comes from the place of its stream. Equal
+layers at other places are each followed.
 
 Decoded bytes are read without loss: UTF-8 as code points, every other byte as a separator, and runs of
 ASCII in UTF-16 (either byte order) as one more layer. Layers that hold control characters or such
@@ -114,6 +116,13 @@ class Layer:
             return at, at + 1
         return self.start, self.end
 
+    def key(self) -> bytes:
+        """The same for equal texts from the same place."""
+        one = hashlib.sha256(self.text.encode("utf-8", "surrogatepass"))
+        for x in self.spans():
+            one.update(np.ascontiguousarray(x, np.int64))
+        return one.digest()
+
     def below(self, step: str) -> str:
         return f"{self.path}>{step}" if self.path else step
 
@@ -407,18 +416,20 @@ def layers_below(layer: Layer, most: int, tally: Tally) -> Iterator[Layer]:
 def unwrapped(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list, int, int]:
     """All (kind, start, end, path) below the base layer; number of layers; streams read in windows."""
     found: dict[tuple, None] = {}
-    seen, tally, layers = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}, Tally(), 0
+    base, tally, layers = Layer(text), Tally(), 0
+    # hashed only where there is a layer below
+    seen: set[bytes] = set()
     # depth first, so that only one layer of each depth is held
-    work = [layers_below(Layer(text), most, tally)]
+    work = [layers_below(base, most, tally)]
     while work:
         one = next(work[-1], None)
         if one is None:
             work.pop()
             continue
         found |= dict.fromkeys((k, *one.origin(a, b), one.path) for k, a, b in scan(one.text))
-        key = hashlib.sha256(one.text.encode("utf-8", "surrogatepass")).digest()
-        # the same text from another place: reported there, not followed again
-        if key not in seen:
+        seen = seen or {base.key()}
+        # one that came from the same place by another way is not followed again
+        if (key := one.key()) not in seen:
             seen.add(key)
             layers += 1
             work.append(layers_below(one, most, tally))

@@ -158,6 +158,28 @@ def test_lone_surrogate_in_a_run():
     assert spans("\\ud83d\\ude00" + run) == ["assign:12:132"]
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        lambda x: base64.b64encode(base64.b64encode(x)),
+        lambda x: base64.b64encode("".join(f"%{b:02x}" for b in x).encode()),
+        lambda x: base64.b64encode(base64.b64encode(gzip.compress(x, mtime=0))),
+        lambda x: quote(quote(base64.b64encode(x), safe=""), safe="").encode(),
+    ],
+)
+def test_repeated_layers_at_each_place(wrap):
+    code = wrap(KEY.encode()).decode()
+    [one] = {tuple(map(int, s.split(":")[1:])) for s in spans(code)}
+    step = len(code) + 2
+    got = [tuple(map(int, s.split(":")[1:])) for s in spans("; ".join([code] * 5))]
+    assert sorted(set(got)) == [(one[0] + i * step, one[1] + i * step) for i in range(5)]
+
+
+def test_many_ways_to_a_layer_end():
+    text = "%25" * 40 + "\\u0025" * 3 + "41 &#37;41 " + base64.b64encode(KEY.encode() * 3).decode()
+    assert secrets_of("%2525" * 200 + text)[6] < 500
+
+
 def test_rows(spark):
     rows = [(1, None, "a"), (None, "", "b"), (2, KEY, "c"), (2, KEY, "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
