@@ -2,7 +2,9 @@
 
 A text is scanned as it is (the base spans) and then unwrapped: percent escapes, Unicode escapes and
 character references of a layer give one decoded layer, every base64 token gives a layer of its own
-(lines that may belong together give one as a block, one without the last line and one for each line),
+(lines that may belong together give one as a block, one without the last line and one for each line;
+one that isn't plain text is read at all four alignments, in its parts between `/`, `-` and `_`, and
+from where a compressed stream may begin),
 and bytes that begin as gzip, zlib, bzip2, xz or zstandard data are expanded first. New layers join
 the worklist until none is left. A layer whose text was seen before from the same place, code point by
 code point, is not followed again: that joins layers reached by several ways and ends data which
@@ -10,8 +12,8 @@ unwraps to itself, as such data is expanded and all of it comes from the place o
 layers at other places are each followed.
 
 Decoded bytes are read without loss: UTF-8 as code points, every other byte as a separator, and runs of
-ASCII in UTF-16 (either byte order) as one more layer. Layers that hold control characters or such
-separators and neither a finding nor anything coded are left out of `n_layers`.
+ASCII in UTF-16 (either byte order) as one more layer. Of bytes that aren't plain text, the fragments
+between control characters and separators are layers, if they hold a finding or anything coded.
 
 Every layer carries, per code point, the start and end in the original text it came from; a finding
 in a layer is reported at the original code points that made it, under its kind. All code points of
@@ -28,7 +30,6 @@ are not read.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -70,9 +71,17 @@ UNICODE = re.compile(
 BASE64 = re.compile(
     r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/_-]{60,}\r?\n)+[A-Za-z0-9+/_-]+|[A-Za-z0-9+/_-]{16,})={0,2}"
 )
+LEAST_TOKEN = 16
+LOOK = 4096
+NO_BREAKS = str.maketrans("-_", "+/", "\r\n")
+# parts of a run that other characters of either alphabet join; base64 of what streams begin with
+BETWEEN = [re.compile(x) for x in (r"[A-Za-z0-9+/\r\n]+={0,2}", r"[A-Za-z0-9_\r\n-]+={0,2}", r"[A-Za-z0-9+\r\n]+={0,2}")]
+PACKED = re.compile(r"H4sI|KLUv[/_]|Qlpo|[/_]Td6WFoA|e(?=A[E-H]|F[4-7]|J[w-z]|N[o-r])")
 # ASCII in UTF-16 of either byte order, long enough for a finding
 WIDE = re.compile(r"\x00?(?:[\t\n\r\x20-\x7e]\x00){6,}[\t\n\r\x20-\x7e]?")
 CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f�\ud800-\udfff]")
+# the least finding has twelve characters; zeros are left in for UTF-16
+FRAGMENT = re.compile(r"[^\x01-\x08\x0e-\x1f\x7f\ud800-\udfff]{12,}")
 CODED = re.compile("|".join(x.pattern for x in (PERCENT, UNICODE, BASE64, WIDE)))
 
 SCHEMA = (
@@ -104,6 +113,8 @@ class Layer:
     start: np.ndarray | None = None
     end: np.ndarray | None = None
     path: str = ""
+    #: where the text begins in the decoded bytes
+    at: int = 0
 
     def origin(self, a: int, b: int) -> tuple[int, int]:
         if self.start is None:
@@ -138,7 +149,7 @@ class Feed:
     """Bytes that come in pieces."""
 
     def __init__(self, pieces: Iterator[bytes]) -> None:
-        self.pieces, self.held = pieces, b""
+        self.pieces, self.held, self.broken = pieces, b"", False
 
     def take(self, n: int) -> bytes:
         parts, size = [self.held], len(self.held)
@@ -217,7 +228,7 @@ def expanded(feed: Feed) -> Iterator[bytes]:
         while not one.eof and (data := feed.take(step)):
             yield from (x for x in portions(name, one, data) if x)
     except UNSOUND:
-        return
+        feed.broken = True
 
 
 def is_stream(data: bytes) -> bool:
@@ -233,9 +244,14 @@ def plain(text: str) -> bool:
     return not CONTROL.search(text)
 
 
+def fragments(text: str) -> list[tuple[int, int]]:
+    """What lies between separators and has something to find in it or below it."""
+    found = (m.span() for m in FRAGMENT.finditer(text))
+    return [(a, b) for a, b in found if CODED.search(text, a, b) or scan(text[a:b])]
+
+
 def worth(text: str) -> bool:
-    """Whether there is anything to find in a layer or below it."""
-    return bool(text) and (plain(text) or bool(CODED.search(text)) or bool(scan(text)))
+    return bool(text) and (plain(text) or bool(fragments(text)))
 
 
 def decoded(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
@@ -251,8 +267,14 @@ def decoded(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[str, np.nd
     return text, start, end
 
 
-def text_layer(data: bytes, start: np.ndarray, end: np.ndarray, path: str) -> Layer | None:
-    return Layer(*decoded(data, start, end), path) if worth(lossless(data)) else None
+def text_layers(data: bytes, start: np.ndarray, end: np.ndarray, path: str) -> Iterator[Layer]:
+    """Decoded bytes as one layer; where they aren't plain text, their fragments."""
+    text = lossless(data)
+    parts = [(0, len(text))] if plain(text) else fragments(text)
+    if text and parts:
+        text, start, end = decoded(data, start, end)
+        for a, b in parts:
+            yield Layer(text[a:b], start[a:b], end[a:b], path, a)
 
 
 def bytes_layers(
@@ -260,8 +282,7 @@ def bytes_layers(
 ) -> Iterator[Layer]:
     """The layers of decoded bytes with their sources; expands compressed streams on the way."""
     if not is_stream(data):
-        if (one := text_layer(data, start, end, path)) is not None:
-            yield one
+        yield from text_layers(data, start, end, path)
         return
     source, known = (start[0], end[-1]), set()
     key = (*source, hashlib.sha256(data).digest())
@@ -285,8 +306,7 @@ def bytes_layers(
             break
     for window in windows(pieces(), most):
         places = (np.full(len(window), x) for x in source)
-        if (one := text_layer(window, *places, path)) is not None:
-            yield one
+        yield from text_layers(window, *places, path)
 
 
 def percent_piece(token: str) -> bytes:
@@ -337,7 +357,7 @@ def rewritten(layer: Layer, pattern: re.Pattern, step: str) -> tuple[Layer | Non
     parts, starts, ends, streams, at, changed = [], [], [], [], 0, False
     for m in pattern.finditer(layer.text):
         if pattern is WIDE:
-            piece = wide_piece(m[0], None if layer.path.endswith(REWRITING) else m.start())
+            piece = wide_piece(m[0], None if layer.path.endswith(REWRITING) else layer.at + m.start())
         else:
             piece = percent_piece(m[0]) if pattern is PERCENT else unicode_piece(m[0])
         if piece is None:
@@ -379,27 +399,52 @@ def block_parts(block: str) -> list[tuple[int, int]]:
     return list(dict.fromkeys(parts))
 
 
+def inner_parts(block: str, a: int, b: int) -> list[tuple[int, int]]:
+    """Readings of a token that isn't plain as it stands: the other alignments, the parts between
+    separators, and from where a stream may begin."""
+    parts = [(a + i, b) for i in (1, 2, 3)]
+    for pattern in BETWEEN:
+        parts += [m.span() for m in pattern.finditer(block, a, b)]
+    parts += [(m.start(), b) for m in PACKED.finditer(block, a, b) if may_unpack(block[m.start() : min(b, m.start() + LOOK)])]
+    return [(i, k) for i, k in parts if k - i >= LEAST_TOKEN]
+
+
+def may_unpack(code: str) -> bool:
+    """Whether the short mark of zlib, which occurs by chance, is followed by sound data; other streams
+    begin with longer marks."""
+    if not code.startswith("e"):
+        return True
+    feed = Feed(cut(code_bytes(code)))
+    return sum(map(len, expanded(feed))) > 0 and not feed.broken
+
+
+def code_bytes(token: str) -> bytes:
+    code = token.translate(NO_BREAKS).rstrip("=")
+    code = code[: len(code) - (len(code) % 4 == 1)]
+    return base64.b64decode(code + "=" * (-len(code) % 4))
+
+
 def base64_layers(layer: Layer, most: int, tally: Tally) -> Iterator[Layer]:
     start, end = layer.spans()
     for m in BASE64.finditer(layer.text):
-        for a, b in block_parts(m[0]):
-            token = m[0][a:b].rstrip("=")
-            at = np.array([i for i, c in enumerate(token) if c not in "\r\n"]) if "\n" in token else None
-            code = token if at is None else "".join(token.split())
-            code = code[: len(code) - (len(code) % 4 == 1)]
-            try:
-                data = base64.b64decode(
-                    code.replace("-", "+").replace("_", "/") + "=" * (-len(code) % 4), validate=True
-                )
-            except (binascii.Error, ValueError):
+        block = m[0]
+        todo = block_parts(block)
+        outer, seen, i = len(todo), set(), 0
+        while i < len(todo):
+            (a, b), i = todo[i], i + 1
+            if (a, b) in seen:
                 continue
+            seen.add((a, b))
+            data = code_bytes(block[a:b])
+            if i <= outer and not plain(lossless(data)) and not is_stream(data):
+                todo += inner_parts(block, a, b)
             if form_of(data) is None and not worth(lossless(data)):
                 continue
+            # where the characters stand, line breaks left out
+            signs = np.frombuffer(block[a:b].encode(), np.uint8)
+            at = m.start() + a + np.flatnonzero((signs != 13) & (signs != 10) & (signs != 61))
             k = np.arange(len(data))
-            first, last = k * 8 // 6, np.minimum((k * 8 + 7) // 6, len(code) - 1)
-            if at is not None:
-                first, last = at[first], at[last]
-            first, last = first + m.start() + a, last + m.start() + a
+            first, last = at[k * 8 // 6], at[np.minimum((k * 8 + 7) // 6, len(at) - (len(at) % 4 == 1) - 1)]
             yield from bytes_layers(data, start[first], end[last], layer.below("base64"), most, tally)
 
 

@@ -175,6 +175,29 @@ def test_repeated_layers_at_each_place(wrap):
     assert sorted(set(got)) == [(one[0] + i * step, one[1] + i * step) for i in range(5)]
 
 
+@pytest.mark.parametrize("before", ["", "https://host.example/cb/", "id_", "x-", "\\n", "ab/", "a_b-c/d/", "key+"])
+@pytest.mark.parametrize("after", ["", "/next/page", "-v2", "_x"])
+def test_tokens_that_touch_others(before, after):
+    at = len(before)
+    code = base64.b64encode(KEY.encode() + b"!").decode()
+    assert f"assign:{at}:{at + 27}" in spans(f"{before}{code}{after}")
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        for form in (base64.b64encode, base64.urlsafe_b64encode):
+            code = form(pack(b"<" + KEY.encode() + b">?" * 9)).decode().rstrip("=")
+            got = spans(f"{before}{code}{after}")
+            assert any(s.startswith(f"assign:{at}:") for s in got), (pack, form)
+
+
+@pytest.mark.parametrize("joint", "/-_")
+def test_joined_tokens(joint):
+    code = [base64.b64encode(f"{w} = abcdef123456!!".encode()).decode().rstrip("=") for w in ("token", "secret")]
+    assert len(code[0]) % 4
+    got = spans(joint.join(code))
+    second = len(code[0]) + 1
+    assert any(s.startswith("assign:0:2") for s in got)
+    assert any(s.startswith(f"assign:{second}:") for s in got)
+
+
 def test_many_ways_to_a_layer_end():
     text = "%25" * 40 + "\\u0025" * 3 + "41 &#37;41 " + base64.b64encode(KEY.encode() * 3).decode()
     assert secrets_of("%2525" * 200 + text)[6] < 500
