@@ -23,7 +23,9 @@ Defined results: null and empty texts have no spans. Nothing is skipped for leng
 expands beyond `max_layer_bytes` (64 MiB) is counted in `oversize` and followed in windows of that
 size, each half over the one before, so that memory stays bounded; only an escape or token of more
 than half a window may be cut. There is no bound on what is expanded: a decompression bomb costs the
-time to read it. A broken or truncated stream is followed as far as it is sound. Ids, ties and repeated rows play no part: each row has its own result, and other columns
+time to read it. Streams that follow each other are one content, whatever their formats; bytes behind
+them are read as they are. A broken or truncated stream is followed as far as it is sound, and read as
+plain bytes too. Ids, ties and repeated rows play no part: each row has its own result, and other columns
 are not read.
 """
 
@@ -149,7 +151,9 @@ class Feed:
     """Bytes that come in pieces."""
 
     def __init__(self, pieces: Iterator[bytes]) -> None:
-        self.pieces, self.held, self.broken = pieces, b"", False
+        self.pieces, self.held, self.broken, self.unended = pieces, b"", False, False
+        #: how many bytes were taken, and behind how many of them no sound stream is left
+        self.at = self.tail = 0
 
     def take(self, n: int) -> bytes:
         parts, size = [self.held], len(self.held)
@@ -158,8 +162,23 @@ class Feed:
             size += len(more)
         data = b"".join(parts)
         self.held = data[n:]
+        self.at += min(n, size)
         return data[:n]
 
+    def back(self, data: bytes) -> None:
+        self.held = data + self.held
+        self.at -= len(data)
+
+    def peek(self, n: int) -> bytes:
+        data = self.take(n)
+        self.back(data)
+        return data
+
+    def rest(self, skip: int = 0) -> Iterator[bytes]:
+        while skip and (data := self.take(min(skip, CHUNK))):
+            skip -= len(data)
+        yield from iter(lambda: self.take(CHUNK), b"")
+
 
 def cut(data: bytes) -> Iterator[bytes]:
     return (data[i : i + CHUNK] for i in range(0, len(data), CHUNK))
@@ -175,11 +194,18 @@ def windows(pieces: Iterator[bytes], most: int) -> Iterator[bytes]:
         yield window
 
 
+def skippable(data: bytes) -> int:
+    """The length of the zstandard frame without content that data begins with."""
+    if len(data) < 8 or data[0] >> 4 != 5 or data[1:4] != b"\x2a\x4d\x18":
+        return 0
+    return 8 + int.from_bytes(data[4:8], "little")
+
+
 def form_of(data: bytes) -> str | None:
     """The format that compressed data begins as."""
     if data[:2] == b"\x1f\x8b":
         return "gzip"
-    if data[:4] == b"\x28\xb5\x2f\xfd":
+    if data[:4] == b"\x28\xb5\x2f\xfd" or skippable(data):
         return "zstd"
     if data[:3] == b"BZh":
         return "bzip2"
@@ -217,18 +243,27 @@ def portions(name: str, one, data: bytes) -> Iterator[bytes]:
 
 
 def expanded(feed: Feed) -> Iterator[bytes]:
-    """The content of the stream that `feed` begins with, as far as it is sound."""
-    feed.held = feed.take(CHUNK)
-    if (name := form_of(feed.held)) is None:
-        return
-    one = DECOMPRESSORS[name]()
-    # zstandard gives all at once: 32 MiB at most for this much
-    step = CHUNK // 64 if name == "zstd" else CHUNK
-    try:
-        while not one.eof and (data := feed.take(step)):
-            yield from (x for x in portions(name, one, data) if x)
-    except UNSOUND:
-        feed.broken = True
+    """The content of the streams that follow each other from where `feed` begins, as far as it is sound."""
+    while name := form_of(head := feed.peek(8)):
+        feed.tail = feed.at
+        if skip := skippable(head):
+            while skip and (data := feed.take(min(skip, CHUNK))):
+                skip -= len(data)
+            continue
+        one = DECOMPRESSORS[name]()
+        # zstandard gives all at once: 32 MiB at most for this much
+        step = CHUNK // 64 if name == "zstd" else CHUNK
+        try:
+            while not one.eof and (data := feed.take(step)):
+                yield from (x for x in portions(name, one, data) if x)
+        except UNSOUND:
+            feed.broken = True
+            return
+        if not one.eof:
+            feed.unended = True
+            return
+        feed.back(one.unused_data)
+    feed.tail = feed.at
 
 
 def is_stream(data: bytes) -> bool:
@@ -284,17 +319,27 @@ def bytes_layers(
     if not is_stream(data):
         yield from text_layers(data, start, end, path)
         return
-    source, known = (start[0], end[-1]), set()
-    key = (*source, hashlib.sha256(data).digest())
-    if key in tally.streams:
-        return
-    tally.streams.add(key)
+    source, known = None, set()
     pieces: Callable[[], Iterator[bytes]] = partial(cut, data)
     while True:
         # a stream of any size is read anew for each use, so that only windows of it are held
-        path = f"{path}>{form_of(Feed(pieces()).take(CHUNK))}"
+        feed = Feed(pieces())
+        name, content = form_of(feed.peek(8)), Feed(expanded(feed))
+        head = content.take(most + 1)
+        while content.take(CHUNK):
+            pass
+        # what follows the streams, or a stream that is broken or doesn't end, is read as it is
+        if source is None:
+            source = start[0], end[-1 if feed.broken or feed.unended else feed.tail - 1]
+            if (key := (*source, hashlib.sha256(data).digest())) in tally.streams:
+                return
+            tally.streams.add(key)
+            yield from text_layers(data[feed.tail :], start[feed.tail :], end[feed.tail :], path)
+        else:
+            for window in windows(Feed(pieces()).rest(feed.tail), most):
+                yield from text_layers(window, *(np.full(len(window), x) for x in source), path)
+        path = f"{path}>{name}"
         pieces = partial(lambda outer: expanded(Feed(outer())), pieces)
-        head = Feed(pieces()).take(most + 1)
         if len(head) <= most:
             if (key := hashlib.sha256(head).digest()) in known:
                 return
@@ -302,7 +347,7 @@ def bytes_layers(
             pieces = partial(cut, head)
         else:
             tally.oversize += 1
-        if form_of(head) is None or not any(expanded(Feed(pieces()))):
+        if not any(expanded(Feed(pieces()))):
             break
     for window in windows(pieces(), most):
         places = (np.full(len(window), x) for x in source)
