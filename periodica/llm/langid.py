@@ -1,8 +1,10 @@
 """Language identification by compression.
 
 A model holds one raw-content dictionary per language: up to `dict_bytes` of letters from a sample of
-at most `sample_docs` learnable documents of that language, those with the least hash of their ids. A
-text is encoded with zstandard once per dictionary; the language whose dictionary gives the fewest
+at most `sample_docs` learnable documents of that language, those with letters and the least hash of
+their ids. Of the letters of a whole document at most 4 * `dict_bytes` / `sample_docs` are taken (4,096
+with the values below), in `PIECES` pieces spread over all of it; if a language's pieces are more than
+`dict_bytes`, the last ones make the dictionary. A text is encoded with zstandard once per dictionary; the language whose dictionary gives the fewest
 bytes wins. The score is the share of bytes saved against the second best, 0 to 1; a prediction is
 accepted only where it reaches `min_margin`, narrower ones are rejected (`accepted` false).
 
@@ -12,7 +14,7 @@ that a long text keeps being compared with the dictionaries and not with itself.
 Defined results: a text that is null or has no letter is `und` with score 0 and not accepted, as is
 every text where no language was learned; with one language only, every other text gets that one with
 score 1. Ties go to the language that sorts first. Repeated rows each have their result, and other
-columns than id, text and, for learning, lang are not read. Rows without id, text or lang are not
+columns than id, text and, for learning, lang are not read. Rows without id, letters or lang are not
 learned from.
 """
 
@@ -32,6 +34,7 @@ SAMPLE_DOCS = 96
 DICT_BYTES = 96 << 10
 BLOCK_BYTES = 4096
 MIN_MARGIN = 0.01
+PIECES = 8
 LEVEL, MIN_MATCH = 7, 4
 UNKNOWN = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
@@ -44,24 +47,39 @@ def letters(text: str) -> str:
     return NOT_LETTERS.sub(" ", text.lower()).strip()
 
 
+def spread(words: str, most: int) -> str:
+    """At most `most` characters of `words`, in pieces from its beginning to its end."""
+    width = (most - PIECES + 1) // PIECES
+    if len(words) <= most or width < 1:
+        return words[:most]
+    room = len(words) - width
+    starts = (i * room // (PIECES - 1) for i in range(PIECES))
+    return " ".join(words[a : a + width] for a in starts)
+
+
 def learn(
     docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES
 ) -> dict[str, bytes]:
     """Dictionaries from learnable rows of `docs` (doc_id, text, lang): a bounded sample of each language."""
     rows = docs.filter(
-        F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()
+        F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull()
     ).filter(learnable(F.col("doc_id")))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # ids only; the texts of the few that are chosen are read by a second scan
     ids = rows.select("doc_id", "lang").withColumn("nth", F.row_number().over(by_hash))
     ids = ids.filter(F.col("nth") <= sample_docs).select("doc_id", "lang", "nth")
     share = 4 * dict_bytes // sample_docs
-    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select(
-        "lang", "nth", F.substring("text", 1, share).alias("text")
-    )
+    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "nth", "text")
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(text=[spread(letters(t), share) for t in batch["text"]])
+
+    # bounded: languages times sample_docs times share
+    sample = sample.mapInPandas(pieces, "lang string, nth int, text string")
     words: dict[str, list[str]] = {}
     for row in sorted(sample.collect(), key=lambda r: (r.lang, r.nth, r.text)):
-        words.setdefault(row.lang, []).append(letters(row.text))
+        words.setdefault(row.lang, []).append(row.text)
     return {lang: " ".join(x).encode()[-dict_bytes:] for lang, x in words.items()}
 
 

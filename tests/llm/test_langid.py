@@ -38,3 +38,16 @@ def test_defined_results(spark):
     assert identify(docs, {}).filter("lang_pred <> 'und'").count() == 0
     assert Encoders({"de": b"abc"}, 4096).best("abc") == ("de", 1.0)
     assert identify(docs.limit(0), model).count() == 0
+
+
+def test_learns_letters_of_whole_texts(spark):
+    own = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    table = "| 12,5 | 0 " * 1000
+    rows = [(i, "" if n % 2 else "12 || --", "de") for n, i in enumerate(own[:200])]
+    rows += [(own[200], f"{table} anfang {table} mitte {table} ende", "de")]
+    rows += [(own[201], "license text " * 9000 + "schluss", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = learn(docs, sample_docs=24)
+    assert model["de"] == b"anfang mitte ende"
+    assert model["fr"].endswith(b"schluss") and len(model["fr"]) <= 4 * (96 << 10) // 24
+    assert learn(docs.filter("text not like '%anfang%'"), sample_docs=24).keys() == {"fr"}
