@@ -2,6 +2,7 @@
 
 from periodica.llm import (
     exact_dedup,
+    filter_audit,
     fingerprints,
     langid,
     mixing,
@@ -24,6 +25,7 @@ MODULES = [
     exact_dedup,
     langid,
     suffix_dedup,
+    filter_audit,
 ]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
