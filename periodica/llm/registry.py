@@ -8,6 +8,7 @@ from periodica.llm import (
     mixing,
     near_dedup,
     pii,
+    prefix_trie,
     secrets,
     suffix_dedup,
     tokens,
@@ -25,6 +26,7 @@ MODULES = [
     exact_dedup,
     langid,
     suffix_dedup,
+    prefix_trie,
     filter_audit,
 ]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
