@@ -5,6 +5,7 @@ from periodica.llm import (
     filter_audit,
     fingerprints,
     langid,
+    lm_scoring,
     mixing,
     near_dedup,
     pii,
@@ -27,6 +28,7 @@ MODULES = [
     langid,
     suffix_dedup,
     prefix_trie,
+    lm_scoring,
     filter_audit,
 ]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
