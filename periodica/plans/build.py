@@ -1,25 +1,46 @@
-"""Build of the warehouse from the two register files."""
+"""Build of the warehouse from the two register files, and the monthly merge."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.functions.members import normalize_history, normalize_stock
-from periodica.functions.territory import in_departements
+from periodica.functions.members import UNKNOWN_COMMUNE, normalize_history, normalize_stock
+from periodica.functions.territory import departement_argument, in_departements
 from periodica.operators.dims import dim_activite, dim_commune, dim_date, period_profile
 from periodica.operators.integrity import IntegrityError, duplicate_keys, integrity_report
 from periodica.operators.joins import restrict_history
-from periodica.operators.metrics import run_metrics
-from periodica.operators.scd2 import preset, scd2_merge, scd2_versions
-from periodica.plans.warehouse import FACT, Warehouse
+from periodica.operators.metrics import fact_counts, metric_rows, run_metrics
+from periodica.operators.scd2 import preset, scd2_merge, scd2_versions, window_moved
+from periodica.plans.warehouse import FACT, Part, Warehouse, slot_of, with_departement
 from periodica.sources.register import headcount_bands, scan_history, scan_stock
 
+#: What a run did: versions published, only old ones taken away, nothing to load.
+LOADED, WITHDRAWN, NOTHING = "loaded", "withdrawn", "nothing"
+
+
+class Build(NamedTuple):
+    status: str
+    metrics: DataFrame
+
 
 def build_warehouse(
+    spark: SparkSession,
+    stock_path: str,
+    history_path: str,
+    root: str,
+    departements: Iterable[str] | None = None,
+    **options,
+) -> DataFrame:
+    """The metrics of `run_build`."""
+    return run_build(spark, stock_path, history_path, root, departements, **options).metrics
+
+
+def run_build(
     spark: SparkSession,
     stock_path: str,
     history_path: str,
@@ -30,11 +51,14 @@ def build_warehouse(
     as_of: dt.date | None = None,
     unique_starts: bool = False,
     fail_on_violation: bool = False,
-) -> DataFrame:
-    """Scan, filter, dimensions, versions, publish; returns the run metrics.
+) -> Build:
+    """Scan, filter, versions, dimensions, publish; returns the status and the run metrics.
 
-    Dimensions are loaded first and only gain rows. The versions of a run replace those of its
-    departments; other departments keep theirs, so a region is one run or several.
+    The versions are written first, unseen, and counted as they are written. Without any the run
+    adds nothing; it only takes away what its departments no longer retain. Otherwise the dimensions
+    gain their rows and one line makes the versions visible: those of the run's departments replace
+    the old ones, other departments keep theirs, so a region is one run or several. A run that breaks
+    off before that line leaves every reader on the old state.
     `unique_starts`: see `scd2_versions`; for a source whose key is (siret, start).
     `fail_on_violation` checks keys and references before the versions are published.
     """
@@ -54,34 +78,73 @@ def build_warehouse(
     try:
         if unique_starts:
             _check_unique_starts(retained)
-        _insert_dims(warehouse, stock, profile, options, as_of)
         fact = scd2_versions(retained, stock, unique_starts=unique_starts, **options)
-        verify = _strict(warehouse) if fail_on_violation else None
-        if departements is None:
-            if warehouse.publish(FACT, fact, verify=verify) == 0:
-                print("no version to publish")
-        elif fail_on_violation or options.get("default_members"):
-            # A whole new table: it can be verified before it is published, and the department of
-            # the unknown commune, which belongs to no single run, cannot be replaced.
-            outside = warehouse.read(FACT).filter(~_inside(departements))
-            others = outside.join(stock.select("siret"), "siret", "left_anti")
-            whole = others.select(fact.columns).unionByName(fact)
-            warehouse.publish(FACT, whole, allow_empty=True, verify=verify)
+        fact = fact.withColumn("loaded", F.lit(True))
+        replaced = _everything
+        if departements is not None:
+            others, replaced = _others(warehouse, stock, departements, options)
+            fact = fact.unionByName(others.withColumn("loaded", F.lit(False)))
+        counts = {"loaded": F.count_if("loaded"), **fact_counts(departements)}
+        staged = warehouse.stage(FACT, fact, **counts)
+        status = LOADED
+        if staged.counts["loaded"] == 0:
+            old = [part for part in warehouse.state(FACT).parts if replaced(part)]
+            status = WITHDRAWN if departements is not None and old else NOTHING
+        if status == NOTHING:
+            staged.discard()
         else:
-            warehouse.replace_departements(fact)
-            _drop_misplaced(warehouse, stock, departements)
-            if warehouse.read(FACT).filter(_inside(departements)).isEmpty():
-                print("no version to publish")
-        warehouse.note_load(rules, as_of)
-
-        tables = warehouse.tables()
-        metrics = run_metrics(stock, profile, tables["dim_commune"], tables[FACT], departements)
-        return spark.createDataFrame(metrics.collect(), metrics.schema)
+            _insert_dims(warehouse, stock, profile, options, as_of)
+            staged.publish(replaced, _strict(warehouse) if fail_on_violation else None)
+            warehouse.note_load(rules, as_of)
+
+        communes = warehouse.read("dim_commune")
+        metrics = run_metrics(stock, profile, communes, None, departements).collect()
+        rows = [tuple(row) for row in metrics] + metric_rows(staged.counts)
+        return Build(status, spark.createDataFrame(rows, "metric string, value long"))
     finally:
         profile.unpersist()
         stock.unpersist()
 
 
+def _everything(part: Part) -> bool:
+    return True
+
+
+def _others(
+    warehouse: Warehouse, stock: DataFrame, departements: list[str], options: dict
+) -> tuple[DataFrame, Callable[[Part], bool]]:
+    """What a run of some departments writes again beside its own versions, and which parts go.
+
+    All parts of the departments go, so nobody stays who is no longer retained. So do parts elsewhere
+    that hold an establishment which has moved into the departments, and those of the unknown
+    commune, which belongs to no single run; their other versions are written again.
+    """
+    retained = stock.select("siret")
+    outside = warehouse.read(FACT).filter(~_inside(departements))
+    moved = outside.join(retained, "siret", "left_semi")
+    # at most one row for each part
+    places = {tuple(row) for row in moved.select("code_departement", "slot").distinct().collect()}
+    prefixes = tuple(departement_argument(d) for d in departements)
+    unknown = UNKNOWN_COMMUNE[:2] if options.get("default_members") else None
+
+    def replaced(part: Part) -> bool:
+        code = part.departement
+        if code is not None and code.startswith(prefixes):
+            return True
+        return (code, part.slot) in places or (unknown is not None and code == unknown)
+
+    parts = [part for part in warehouse.state(FACT).parts if replaced(part)]
+    others = outside.filter(_at(parts)).join(retained, "siret", "left_anti")
+    return others.drop("code_departement", "slot"), replaced
+
+
+def _at(parts: Iterable[tuple]) -> Column:
+    """Rows of the stored fact in one of the places; a test of its partition columns alone."""
+    names = [f"{part[0] or ''}/{part[1]}" for part in parts]
+    place = F.concat_ws("/", F.coalesce("code_departement", F.lit("")), F.col("slot").cast("string"))
+    return place.isin(names) if names else F.lit(False)
+
+
 def _check_unique_starts(periods: DataFrame) -> None:
     """Raise if the promise behind `unique_starts` is broken."""
     dated = periods.filter(F.col("date_debut").isNotNull())
@@ -113,24 +176,41 @@ def _inside(departements: list[str]) -> Column:
     return F.coalesce(in_departements("code_departement", departements), F.lit(False))
 
 
-def _drop_misplaced(warehouse: Warehouse, stock: DataFrame, departements: list[str]) -> None:
-    """After a run of some departments: drop the versions that it could not replace.
+def _changed(
+    warehouse: Warehouse,
+    loaded: DataFrame,
+    batch: DataFrame,
+    known: DataFrame,
+    departements: list[str] | None,
+    previous: dict | None,
+    options: dict,
+    same_stock: bool,
+) -> DataFrame:
+    """Establishments whose versions a merge changes; one row each."""
+    retained = known.select("siret")
+    changed = batch.select("siret").join(retained, "siret", "left_semi")
+    if previous is not None and _bounds(previous) != _bounds(options):
+        moved = window_moved(loaded, previous, options).select("siret")
+        changed = changed.union(moved.join(retained, "siret", "left_semi"))
+    if not same_stock:
+        fact = warehouse.read(FACT)
+        # read bucket by bucket, so without a shuffle
+        attributes = fact.groupBy("siret").agg(
+            F.first("code_commune").alias("old_commune"), F.first("code_tranche").alias("old_band")
+        )
+        entrants = retained.join(attributes, "siret", "left_anti")
+        dated = loaded.filter(F.col("date_debut").isNotNull())
+        changed = changed.union(dated.select("siret").join(entrants, "siret", "left_semi"))
+        same = F.col("old_commune").eqNullSafe(F.col("code_commune"))
+        same &= F.col("old_band").eqNullSafe(F.col("tranche_effectifs"))
+        changed = changed.union(known.join(attributes, "siret").filter(~same).select("siret"))
+        scope = fact if departements is None else fact.filter(_inside(departements))
+        changed = changed.union(scope.select("siret").join(retained, "siret", "left_anti"))
+    return changed.distinct()
 
-    These are versions of establishments no longer retained, in a department that has become empty,
-    and old versions of establishments that moved into one of the departments from elsewhere. Both
-    are rare; only where there are some the table is written again. The first test reads the
-    departments' directories, the second only the keys of the others.
-    """
-    inside, retained = _inside(departements), stock.select("siret")
-    stale = warehouse.read(FACT).filter(inside).join(retained, "siret", "left_anti")
-    moved = warehouse.read(FACT).filter(~inside).select("siret").join(retained, "siret", "left_semi")
-    if stale.isEmpty() and moved.isEmpty():
-        return
-    fact = warehouse.read(FACT)
-    right = fact.filter(inside).join(retained, "siret", "left_semi").unionByName(
-        fact.filter(~inside).join(retained, "siret", "left_anti")
-    )
-    warehouse.publish(FACT, right, allow_empty=True)
+
+def _bounds(rules: dict) -> tuple:
+    return tuple(rules.get(name) for name in ("start_bounds", "end_bounds", "keep_null_end"))
 
 
 def merge_month(
@@ -142,12 +222,17 @@ def merge_month(
     departements: Iterable[str] | None = None,
     rules: str = "decided",
     as_of: dt.date | None = None,
+    same_stock: bool = False,
 ) -> int:
-    """Bring new periods into a published warehouse; returns the number of versions.
+    """Bring new periods into a published warehouse; returns the number of versions written.
 
     `loaded` are all periods so far, of all establishments: those that the stock has gained, or whose
     dates the new `as_of` admits, are versioned from them too. The dimensions gain their rows as
     well. The rules must be those of the last load.
+
+    Only the parts of the fact are written again that hold an establishment whose versions change, or
+    will hold one; all others stay as they are. `same_stock` promises that the stock is that of the
+    last load, so that only the batch and the dates decide; then the keys of the fact aren't read.
     """
     as_of = as_of or dt.date.today()
     departements = None if departements is None else list(departements)
@@ -156,16 +241,34 @@ def merge_month(
         raise ValueError(f"the warehouse was loaded under the rules {last[0]!r}")
     options = preset(rules, as_of)
     previous = None if last is None else preset(rules, last[1])
-    periods = loaded.unionByName(batch, allowMissingColumns=True)
-    profile = period_profile(restrict_history(periods, stock)).persist()
+    known = normalize_stock(stock) if options.get("default_members") else stock
+    known = with_departement(known).withColumn("slot", slot_of("siret", warehouse.buckets))
+
+    changed = _changed(
+        warehouse, loaded, batch, known, departements, previous, options, same_stock
+    ).persist()
+    again = [periods.join(changed, "siret", "left_semi") for periods in (loaded, batch)]
+    whole = again[0].unionByName(again[1], allowMissingColumns=True)
+    profile = period_profile(restrict_history(whole, stock)).persist()
     try:
+        fact = warehouse.read(FACT)
+        places = [
+            df.join(changed, "siret", "left_semi").select("code_departement", "slot")
+            for df in (fact, known)
+        ]
+        # at most one row for each part, old or new
+        parts = {tuple(row) for row in places[0].union(places[1]).distinct().collect()}
+        mine = known.filter(_at(parts)).drop("code_departement", "slot")
+        merged = scd2_merge(
+            fact.filter(_at(parts)).drop("code_departement", "slot"), *again, mine,
+            departements=departements, previous=previous, **options,
+        )
+        staged = warehouse.stage(FACT, merged) if parts else None
         _insert_dims(warehouse, stock, profile, options, as_of)
     finally:
         profile.unpersist()
-    fact = scd2_merge(
-        warehouse.read(FACT), loaded, batch, stock,
-        departements=departements, previous=previous, **options,
-    )
-    rows = warehouse.publish(FACT, fact)
+        changed.unpersist()
+    if staged is not None:
+        staged.publish(lambda part: part[:2] in parts)
     warehouse.note_load(rules, as_of)
-    return rows
+    return 0 if staged is None else staged.counts["rows"]
