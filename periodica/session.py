@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -16,6 +18,23 @@ SETTINGS = {
 }
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share for scratch tables, `spark.checkpoint.dir`.
+
+    A local session without one gets a folder of its own. On a cluster a folder of one machine would
+    be unseen by the others, so there the setting is needed.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="periodica-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def local_session(cores: str | int = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """Session for tests and the bench: one JVM, no web page."""
     builder = (
