@@ -156,7 +156,7 @@ def with_stock(versions: DataFrame, stock: DataFrame) -> DataFrame:
     return joined.select(*[f.name for f in FAIT.fields])
 
 
-def _window_moved(periods: DataFrame, before: dict, now: dict) -> DataFrame:
+def window_moved(periods: DataFrame, before: dict, now: dict) -> DataFrame:
     """Periods that only one of two sets of date rules keeps."""
 
     def kept(rules: dict) -> Column:
@@ -201,7 +201,7 @@ def scd2_merge(
     entrants = known.select("siret").join(versions.select("siret"), "siret", "left_anti")
     touched = batch.select(F.col(key).alias("siret")).union(entrants)
     if previous is not None:
-        moved = _window_moved(loaded, previous, rules)
+        moved = window_moved(loaded, previous, rules)
         touched = touched.union(moved.select(F.col(key).alias("siret")))
     touched = touched.distinct()
 
@@ -231,20 +231,38 @@ def scd2_snapshot(versions: DataFrame, state: DataFrame, at: dt.date) -> DataFra
     state = first_per_key(
         state.select("siret", *values), ["siret"], [F.asc_nulls_last(c) for c in values]
     )
-    unobserved = versions.join(state.select("siret"), "siret", "left_anti")
-    mine = versions.join(state.select("siret"), "siret", "left_semi")
-    ended = F.col("valid_to").isNotNull() & (F.col("valid_to") <= F.lit(at))
-    live = mine.filter(~ended).select("siret", "valid_from", *ATTRIBUTES, F.lit(0).alias("rank"))
-    observed = state.select("siret", F.lit(at).alias("valid_from"), *ATTRIBUTES, F.lit(1).alias("rank"))
-    periods = dated_periods(live.unionByName(observed), "valid_from", ATTRIBUTES, ["rank"])
-    runs = collapse_runs(periods, "valid_from", ATTRIBUTES)
-    after = runs.select(
-        "siret",
-        "valid_from",
-        F.col("next_start").alias("valid_to"),
-        F.col("next_start").isNull().alias("is_current"),
-        *ATTRIBUTES,
+    columns = [f.name for f in FAIT.fields]
+    observed = state.withColumns({"valid_from": F.lit(at), "observed": F.lit(True)})
+    rows = versions.select(*columns, F.lit(False).alias("observed"))
+    rows = rows.unionByName(observed, allowMissingColumns=True)
+    # one shuffle and one sort serve all windows
+    rows = rows.withColumn("live", F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(at)))
+    all_rows = W.partitionBy("siret").orderBy("live", "valid_from", "observed")
+    all_rows = all_rows.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    chain = W.partitionBy("siret", "live").orderBy("valid_from", "observed")
+    seen = F.when(F.col("observed"), F.struct("code_commune", "code_tranche"))
+    rows = rows.withColumns(
+        {
+            "seen": F.max(seen).over(all_rows),
+            "again": F.lag("valid_from").over(chain).eqNullSafe(F.col("valid_from")),
+        }
     )
-    after = mine.filter(ended).select(after.columns).unionByName(after)
-    attributes = state.withColumnRenamed("code_tranche", "tranche_effectifs")
-    return unobserved.select([f.name for f in FAIT.fields]).unionByName(with_stock(after, attributes))
+    open_chain = F.col("live") & F.col("seen").isNotNull()
+    rows = rows.filter(~(open_chain & F.col("again")))
+    state_of = _state(ATTRIBUTES)
+    changed = ~F.lag(state_of).over(chain).eqNullSafe(state_of)
+    rows = rows.withColumn("changed", changed).filter(~open_chain | F.col("changed"))
+    rows = rows.withColumn("next_start", F.lead("valid_from").over(chain))
+    current = {
+        c: F.when(F.col("seen").isNotNull(), F.col("seen")[c]).otherwise(F.col(c))
+        for c in ("code_commune", "code_tranche")
+    }
+    return rows.withColumns(
+        {
+            "valid_to": F.when(open_chain, F.col("next_start")).otherwise(F.col("valid_to")),
+            "is_current": F.when(open_chain, F.col("next_start").isNull()).otherwise(
+                F.col("is_current")
+            ),
+            **current,
+        }
+    ).select(columns)
