@@ -10,6 +10,7 @@ import datetime as dt
 import importlib
 import importlib.util
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -27,6 +28,7 @@ from oracle import (  # noqa: E402
     ORACLE,
     REGION,
     SIRET,
+    STORED_DEPARTEMENTS,
 )
 from periodica.functions.dates import OLDEST_PLAUSIBLE, Bounds  # noqa: E402
 from periodica.functions.members import normalize_history, normalize_stock  # noqa: E402
@@ -35,10 +37,20 @@ from periodica.operators.keys import insert_if_absent as absent_rows  # noqa: E4
 from periodica.operators.metrics import run_metrics as metrics  # noqa: E402
 from periodica.operators.scd2 import preset, scd2_merge, scd2_snapshot, scd2_versions  # noqa: E402
 from periodica.plans import analyses  # noqa: E402
-from periodica.plans.models import staged_periods  # noqa: E402
-from periodica.schemas import PRIMARY_KEYS  # noqa: E402
+from periodica.plans.build import merge_month, run_build  # noqa: E402
+from periodica.plans.models import MODELS, PERIODS_SOURCE, Model, Run, staged_periods  # noqa: E402
+from periodica.plans.warehouse import Warehouse  # noqa: E402
+from periodica.schemas import HISTORY_SOURCE, PRIMARY_KEYS, STOCK_SOURCE  # noqa: E402
+from periodica.session import shared_folder  # noqa: E402
 from periodica.sources import derived  # noqa: E402
-from periodica.sources.register import headcount_bands, scope_stock  # noqa: E402
+from periodica.sources.register import (  # noqa: E402
+    Sources,
+    headcount_bands,
+    scan_history,
+    scan_stock,
+    scope_stock,
+)
+from periodica.streaming.chunks import load_chunks  # noqa: E402
 
 AS_OF = dt.date(2026, 1, 1)
 PAST = dt.date(1998, 1, 1)
@@ -79,7 +91,135 @@ def _periods(spark: SparkSession, sf: str) -> DataFrame:
     return joins.periods_with_stock(stock.drop("code_ape"), derived.history(spark, sf))
 
 
-def scan_history(spark, sf):
+def _folder(spark: SparkSession) -> str:
+    """A fresh folder that all executors share."""
+    return f"{shared_folder(spark)}/register-{uuid.uuid4().hex}"
+
+
+def _register(spark: SparkSession, sf: str, root: str, files: int | None = None) -> tuple[str, str]:
+    """The two files under their published names; the history in some files dealt by date."""
+    stock, history = derived.source_stock(spark, sf), derived.source_history(spark, sf)
+    stock.select(STOCK_SOURCE.names).write.parquet(f"{root}/stock")
+    history = history.select(HISTORY_SOURCE.names)
+    history = history if files is None else history.repartition(files, "dateDebut")
+    history.write.parquet(f"{root}/history")
+    return f"{root}/stock", f"{root}/history"
+
+
+def stored_scan(spark, sf):
+    """The two files read by their paths."""
+    stock, history = _register(spark, sf, _folder(spark))
+    scope = scan_stock(spark, stock, [DEPARTEMENT])
+    return joins.restrict_history(scan_history(spark, history), scope)
+
+
+def stored_models(spark, sf):
+    """A declared source, its staging view and a mart stored as a table, read back together."""
+    root = _folder(spark)
+    _periods(spark, sf).write.parquet(f"{root}/periodes")
+    sources = Sources(spark).declare(PERIODS_SOURCE, f"{root}/periodes")
+    staging, mart = MODELS
+    name = f"mart_{uuid.uuid4().hex}"
+    built = Run(sources).run([staging, Model(name, mart.build, "table")])
+    counts = built[staging.name].groupBy("code_commune").agg(F.count("*").alias("nb_periodes"))
+    return built[name].join(counts, "code_commune")
+
+
+def _built(spark, sf, runs: list[list[str] | None]) -> Warehouse:
+    root = _folder(spark)
+    paths = _register(spark, sf, root)
+    for departements in runs:
+        run_build(spark, *paths, f"{root}/w", departements, as_of=AS_OF)
+    return Warehouse(spark, f"{root}/w")
+
+
+def stored_fact(spark, sf):
+    """A run of the whole country, read back from the warehouse."""
+    return _built(spark, sf, [None]).read(FACT).drop("slot")
+
+
+def stored_departements(spark, sf):
+    """Runs of some departments, one of them repeated."""
+    first, *others = STORED_DEPARTEMENTS
+    return _built(spark, sf, [[first], others, [first]]).read(FACT).drop("slot")
+
+
+def stored_dims(spark, sf):
+    """Dimensions after a run of the country and, on top of it, one of a department."""
+    tables = _built(spark, sf, [None, [DEPARTEMENT]]).tables()
+
+    def rows(table: str, *label: str) -> DataFrame:
+        key = F.col(PRIMARY_KEYS[table][0]).cast("string").alias("key")
+        text = F.concat_ws(" ", *label).alias("label")
+        return tables[table].select(F.lit(table).alias("table_name"), key, text)
+
+    found = rows("dim_activite", "nomenclature")
+    found = found.union(rows("dim_commune", "libelle_commune", "code_departement"))
+    found = found.union(rows("dim_date", "annee", "trimestre", "mois"))
+    return found.union(rows("dim_tranche_effectifs", "libelle"))
+
+
+def stored_guard(spark, sf):
+    """Status of runs with and without versions, and how many versions are published after each.
+
+    1: a department. 2: one without establishments. 3: the country, with an empty history. 4: the
+    department again, after all its establishments have opted out.
+    """
+    root = _folder(spark)
+    stock, history = _register(spark, sf, root)
+    empty, opted_out = f"{root}/empty", f"{root}/opted_out"
+    spark.read.parquet(history).limit(0).write.parquet(empty)
+    hidden = spark.read.parquet(stock).withColumn("statutDiffusionEtablissement", F.lit("P"))
+    hidden.write.parquet(opted_out)
+    runs = [
+        (stock, history, [DEPARTEMENT]),
+        (stock, history, ["98"]),
+        (stock, empty, None),
+        (opted_out, history, [DEPARTEMENT]),
+    ]
+    rows = []
+    for number, (*paths, departements) in enumerate(runs, 1):
+        build = run_build(spark, *paths, f"{root}/w", departements, as_of=AS_OF)
+        versions = build.metrics.filter("metric = 'versions'").first()["value"]
+        published = Warehouse(spark, f"{root}/w").read(FACT).count()
+        rows.append((number, build.status, versions, published))
+    return spark.createDataFrame(rows, "run int, status string, versions long, published long")
+
+
+def stored_metrics(spark, sf):
+    """Counts of a run, those of its versions observed while they were written."""
+    root = _folder(spark)
+    paths = _register(spark, sf, root)
+    return run_build(spark, *paths, f"{root}/w", as_of=AS_OF).metrics
+
+
+def stored_merge(spark, sf):
+    """Two deliveries merged into a warehouse; the stock has gained and lost establishments."""
+    number = F.col("siret").cast("long")
+    stock, (first, second) = _stock(spark, sf), _deliveries(spark, sf)
+    warehouse = Warehouse(spark, f"{_folder(spark)}/w")
+    warehouse.create_schema()
+    before, after = stock.filter(number % 7 != 0), stock.filter(number % 11 != 0)
+    merge_month(warehouse, first.limit(0), first, before, as_of=AS_OF)
+    merge_month(warehouse, first, second, after, as_of=AS_OF)
+    return warehouse.read(FACT).drop("code_departement", "slot")
+
+
+def stored_chunks(spark, sf):
+    """The history loaded file by file."""
+    root = _folder(spark)
+    stock, history = _register(spark, sf, root, files=3)
+    warehouse = load_chunks(spark, history, scan_stock(spark, stock), f"{root}/w", as_of=AS_OF)
+    return warehouse.read(FACT).drop("slot")
+
+
+def stored_balance(spark, sf):
+    """A question per establishment on the stored fact, which is bucketed for it."""
+    fact = _built(spark, sf, [None]).read(FACT)
+    return analyses.net_balance(fact, FIRST_YEAR, LAST_YEAR)
+
+
+def scan_retained(spark, sf):
     return joins.restrict_history(derived.history(spark, sf), _stock(spark, sf, [DEPARTEMENT]))
 
 
@@ -260,7 +400,7 @@ def queries() -> dict[str, Query]:
 
     register: dict[str, Query] = {
         "scan_stock": lambda s, sf: _stock(s, sf, [DEPARTEMENT]),
-        "scan_history": scan_history,
+        "scan_history": scan_retained,
         "filter_region": lambda s, sf: _stock(s, sf, REGION),
         "date_window_a": date_window_a,
         "date_window_b": date_window_b,
@@ -299,6 +439,16 @@ def queries() -> dict[str, Query]:
             dims.dim_commune(_stock(s, sf)), "code_commune"
         ),
         "run_metrics": run_metrics,
+        "stored_scan": stored_scan,
+        "stored_models": stored_models,
+        "stored_fact": stored_fact,
+        "stored_departements": stored_departements,
+        "stored_dims": stored_dims,
+        "stored_guard": stored_guard,
+        "stored_metrics": stored_metrics,
+        "stored_merge": stored_merge,
+        "stored_chunks": stored_chunks,
+        "stored_balance": stored_balance,
         "count_prefix": on_fact(filters.count_prefix, "code_commune", DEPARTEMENT),
         "as_of": on_fact(filters.as_of, PAST),
         "q01_active": on_fact(analyses.active_now),
