@@ -299,4 +299,33 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_near_dedup": op2_near_dedup}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_near_dedup": r"""
+        WITH RECURSIVE cut AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda w: w <> '') AS words
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 2),
+                    lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+            FROM cut
+        ), each AS (
+            SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+        ), reach AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT doc_id, len(shingles) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+               doc_id <= coalesce(b, doc_id) AS kept
+        FROM sets LEFT JOIN least ON a = doc_id
+    """
+}
