@@ -282,7 +282,8 @@ class Warehouse:
         else:
             name = f"staged_{_stamp()}"
             rows = with_departement(df).withColumn("slot", slot_of("siret", state.buckets))
-            rows = rows.repartition(state.buckets, "siret").observe(seen, *observed)
+            # one task for each part, so one file for each
+            rows = rows.repartition("code_departement", "slot").observe(seen, *observed)
             self.spark.sql(self._ddl(table, name, state.buckets, top))
             try:
                 rows.select(*columns, "code_departement", "slot").write.insertInto(name)
