@@ -45,6 +45,8 @@ REACHES = (P.LENGTH - P.BEFORE - P.BEHIND, 162, 194, 226, P.LENGTH - P.BEHIND, P
 #: Names of this level cover nine phrases, mostly more than 400 bytes.
 LEVELS = 1
 BLOCK = 32
+#: Bound of the names that are sent to all tasks.
+FEW = 1000
 BLOCKS = ("text", "high", "low", "last", "core", "hull1", "hull2")
 RUNS = (
     "text long, at long, pos int, size int, name long, "
@@ -77,10 +79,17 @@ def phrase_rows(docs: DataFrame) -> DataFrame:
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """The phrases whose name occurs at two places or more."""
-    often = rows.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
+    """The phrases of the stored `rows` whose name occurs at two places or more.
+
+    The names that hold more than one in `FEW` of the rows each, fewer than `FEW` of them, are sent
+    to all tasks, so that their rows need not meet anywhere.
+    """
+    often = stored(rows.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1"))
+    most = F.broadcast(often.filter(F.col("n") > rows.count() // FEW).select("name"))
+    others = rows.join(most, "name", "left_anti")
     # different names: an even share of them in each task, so the phrases need no sort
-    return rows.join(often.hint("shuffle_hash"), "name")
+    others = others.join(often.select("name").hint("shuffle_hash"), "name")
+    return others.unionByName(rows.join(most, "name", "left_semi"))
 
 
 def by_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -364,11 +373,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     copies = sums.groupBy("sha").agg(F.min("text").alias("first_text"), F.count("*").alias("n_copies"))
     copies = stored(copies.filter("n_copies > 1"))
     copied = sums.join(copies, "sha").select("text", "first_text")
-    later = copied.filter(F.col("text") != F.col("first_text")).select("text").distinct()
+    # written, so that Spark knows its size before it plans the join with all phrases
+    later = stored(copied.filter(F.col("text") != F.col("first_text")).select("text").distinct())
+
+    again = sums.groupBy("text").agg(F.count("*").alias("n")).filter("n > 1")
 
     def all_runs() -> DataFrame:
-        rows = repeated(stored(phrase_rows(docs))).join(later, "text", "left_anti")
-        return runs_of(repeated(stored(rows.dropDuplicates(["text", "place"]))))
+        # copies of a text go before anything is made of their phrases
+        rows = stored(phrase_rows(docs).join(later, "text", "left_anti"))
+        if not again.isEmpty():
+            # repeated rows, with their ids
+            rows = stored(rows.dropDuplicates(["text", "place"]))
+        return runs_of(repeated(rows))
 
     runs = settled(all_runs)
     rows = settled(lambda: covered(reached(runs)))
