@@ -179,6 +179,7 @@ def scd2_merge(
     *,
     departements: Sequence[str] | None = None,
     previous: dict | None = None,
+    touched: DataFrame | None = None,
     **rules,
 ) -> DataFrame:
     """Fact after new periods: equal to `scd2_versions` over `loaded` and `batch` together.
@@ -189,6 +190,8 @@ def scd2_merge(
     one of the two admits. The others keep their versions. All take the commune and band of `stock`,
     and establishments no longer in it drop out.
 
+    A caller who knows those that are versioned again gives them as `touched`, one row each.
+
     With `departements`, `stock` is that of these departments only: versions elsewhere stay as they
     are, but for those of establishments that have moved into one of the departments.
     """
@@ -198,12 +201,13 @@ def scd2_merge(
     known = stock.withColumnRenamed(key, "siret")
     periods = loaded.unionByName(batch, allowMissingColumns=True)
 
-    entrants = known.select("siret").join(versions.select("siret"), "siret", "left_anti")
-    touched = batch.select(F.col(key).alias("siret")).union(entrants)
-    if previous is not None:
-        moved = window_moved(loaded, previous, rules)
-        touched = touched.union(moved.select(F.col(key).alias("siret")))
-    touched = touched.distinct()
+    if touched is None:
+        entrants = known.select("siret").join(versions.select("siret"), "siret", "left_anti")
+        touched = batch.select(F.col(key).alias("siret")).union(entrants)
+        if previous is not None:
+            moved = window_moved(loaded, previous, rules)
+            touched = touched.union(moved.select(F.col(key).alias("siret")))
+        touched = touched.distinct()
 
     kept = with_stock(versions.join(touched, "siret", "left_anti"), known)
     again = periods.join(touched.withColumnRenamed("siret", key), key, "left_semi")

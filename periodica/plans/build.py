@@ -186,27 +186,32 @@ def _changed(
     options: dict,
     same_stock: bool,
 ) -> DataFrame:
-    """Establishments whose versions a merge changes; one row each."""
-    retained = known.select("siret")
-    changed = batch.select("siret").join(retained, "siret", "left_semi")
+    """Establishments whose versions a merge changes; one row each. `again`: their periods are
+    versioned again; `retained`: they are in the stock."""
+    again, retained = F.lit(True).alias("again"), F.lit(True).alias("retained")
+    same, gone = F.lit(False).alias("again"), F.lit(False).alias("retained")
+    inside = known.select("siret")
+    changed = batch.select("siret", again, retained).join(inside, "siret", "left_semi")
     if previous is not None and _bounds(previous) != _bounds(options):
-        moved = window_moved(loaded, previous, options).select("siret")
-        changed = changed.union(moved.join(retained, "siret", "left_semi"))
+        moved = window_moved(loaded, previous, options).select("siret", again, retained)
+        changed = changed.union(moved.join(inside, "siret", "left_semi"))
     if not same_stock:
         fact = warehouse.read(FACT)
         # read bucket by bucket, so without a shuffle
         attributes = fact.groupBy("siret").agg(
             F.first("code_commune").alias("old_commune"), F.first("code_tranche").alias("old_band")
         )
-        entrants = retained.join(attributes, "siret", "left_anti")
-        dated = loaded.filter(F.col("date_debut").isNotNull())
-        changed = changed.union(dated.select("siret").join(entrants, "siret", "left_semi"))
-        same = F.col("old_commune").eqNullSafe(F.col("code_commune"))
-        same &= F.col("old_band").eqNullSafe(F.col("tranche_effectifs"))
-        changed = changed.union(known.join(attributes, "siret").filter(~same).select("siret"))
+        entrants = inside.join(attributes, "siret", "left_anti")
+        dated = loaded.filter(F.col("date_debut").isNotNull()).select("siret", again, retained)
+        changed = changed.union(dated.join(entrants, "siret", "left_semi"))
+        equal = F.col("old_commune").eqNullSafe(F.col("code_commune"))
+        equal &= F.col("old_band").eqNullSafe(F.col("tranche_effectifs"))
+        other = known.join(attributes, "siret").filter(~equal)
+        changed = changed.union(other.select("siret", same, retained))
         scope = fact if departements is None else fact.filter(_inside(departements))
-        changed = changed.union(scope.select("siret").join(retained, "siret", "left_anti"))
-    return changed.distinct()
+        left = scope.select("siret").join(inside, "siret", "left_anti")
+        changed = changed.union(left.select("siret", same, gone))
+    return changed.groupBy("siret").agg(F.max("again").alias("again"), F.max("retained").alias("retained"))
 
 
 def _bounds(rules: dict) -> tuple:
@@ -242,14 +247,15 @@ def merge_month(
     options = preset(rules, as_of)
     previous = None if last is None else preset(rules, last[1])
     known = normalize_stock(stock) if options.get("default_members") else stock
-    known = with_departement(known).withColumn("slot", slot_of("siret", warehouse.buckets))
+    known = with_departement(known).withColumn("slot", slot_of("siret", warehouse.buckets)).persist()
 
     changed = _changed(
         warehouse, loaded, batch, known, departements, previous, options, same_stock
     ).persist()
-    again = [periods.join(changed, "siret", "left_semi") for periods in (loaded, batch)]
-    whole = again[0].unionByName(again[1], allowMissingColumns=True)
-    profile = period_profile(restrict_history(whole, stock)).persist()
+    ours = changed.filter("retained").select("siret")
+    # the periods of the changed establishments serve the versions and the dimensions
+    whole = loaded.unionByName(batch, allowMissingColumns=True).join(ours, "siret", "left_semi").persist()
+    profile = period_profile(whole).persist()
     try:
         fact = warehouse.read(FACT)
         places = [
@@ -260,14 +266,14 @@ def merge_month(
         parts = {tuple(row) for row in places[0].union(places[1]).distinct().collect()}
         mine = known.filter(_at(parts)).drop("code_departement", "slot")
         merged = scd2_merge(
-            fact.filter(_at(parts)).drop("code_departement", "slot"), *again, mine,
-            departements=departements, previous=previous, **options,
+            fact.filter(_at(parts)).drop("code_departement", "slot"), whole, whole.limit(0), mine,
+            departements=departements, touched=changed.filter("again").select("siret"), **options,
         )
         staged = warehouse.stage(FACT, merged) if parts else None
         _insert_dims(warehouse, stock, profile, options, as_of)
     finally:
-        profile.unpersist()
-        changed.unpersist()
+        for cached in (profile, whole, changed, known):
+            cached.unpersist()
     if staged is not None:
         staged.publish(lambda part: part[:2] in parts)
     warehouse.note_load(rules, as_of)

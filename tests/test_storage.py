@@ -231,6 +231,31 @@ def test_a_merge_follows_the_stock(spark, register, tmp_path):
     assert rows(warehouse.read(FACT), *FACT_COLUMNS) == rows(scd2_versions(history, later))
 
 
+def test_a_merge_reads_its_periods_twice(spark, register, tmp_path):
+    """Once for the keys of what changes, once for the periods; not again for each step."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=3)
+    warehouse.create_schema()
+    stock, history = scan_stock(spark, register[0]), scan_history(spark, register[1])
+    late = F.crc32(F.col("siret").cast("binary")) % 3 == 0
+    first, second = history.filter(~late), history.filter(late)
+
+    def counted(periods):
+        seen = spark.sparkContext.accumulator(0)
+
+        def rows(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return periods.mapInArrow(rows, periods.schema), seen, 2 * periods.count()
+
+    merge_month(warehouse, first.limit(0), first, stock, as_of=AS_OF)
+    (loaded, old, most_old), (batch, new, most_new) = counted(first), counted(second)
+    merge_month(warehouse, loaded, batch, stock, as_of=AS_OF)
+    assert 0 < old.value <= most_old and 0 < new.value <= most_new
+    assert rows(warehouse.read(FACT), *FACT_COLUMNS) == rows(scd2_versions(history, stock))
+
+
 def test_a_part_is_replaced_or_stays(spark, register, tmp_path):
     root = str(tmp_path / "w")
     run_build(spark, *register, root, ["69"], as_of=AS_OF)
