@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.llm import setsketch as S
-from periodica.llm.common import fan_out, free_name, stored, table, texts
+from periodica.llm.common import fan_out, free_name, sliced, stored, table, texts
 from periodica.llm.components import components
 
 TILE = 512
@@ -43,17 +44,19 @@ SKETCH = "doc_id long, n_shingles long, set_key binary, sketch binary"
 def sketch_rows(docs: DataFrame, shingle: int) -> DataFrame:
     """The columns of SKETCH per row of `docs` (doc_id, text); no sketch for an empty set."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (x for batch in batches for x in sliced(batch)):
             size, key, sketch = [], [], []
-            for text in batch["text"]:
+            for text in part.column("text").to_pylist():
                 hashes = S.shingle_hashes(text, shingle)
                 size.append(len(hashes))
                 key.append(S.set_key(hashes))
                 sketch.append(S.registers(hashes).tobytes() if len(hashes) else None)
-            yield batch[["doc_id"]].assign(n_shingles=size, set_key=key, sketch=sketch)
+            columns = {"doc_id": part.column("doc_id"), "n_shingles": pa.array(size, pa.int64())}
+            columns |= {"set_key": pa.array(key, pa.binary()), "sketch": pa.array(sketch, pa.binary())}
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.mapInPandas(rows, SKETCH)
+    return docs.select("doc_id", "text").mapInArrow(rows, SKETCH)
 
 
 def sketches(column: pd.Series) -> np.ndarray:
@@ -106,16 +109,17 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
 def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(node, hashes) for the nodes in `wanted` (node, set_key), cut from their texts again."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [S.shingle_hashes(t, shingle) for t in batch["text"]]
-            own = np.array([S.set_key(x) == k for x, k in zip(found, batch["set_key"], strict=True)], bool)
-            out = batch[["node"]].assign(hashes=[x.tobytes() for x in found])
-            yield out[own]
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (x for batch in batches for x in sliced(batch)):
+            found = [S.shingle_hashes(t, shingle) for t in part.column("text").to_pylist()]
+            keys = part.column("set_key").to_pylist()
+            own = [S.set_key(x) == k for x, k in zip(found, keys, strict=True)]
+            hashes = pa.array([x.tobytes() for x in found], pa.binary())
+            out = pa.RecordBatch.from_pydict({"node": part.column("node"), "hashes": hashes})
+            yield out.filter(pa.array(own, pa.bool_()))
 
-    return docs.join(wanted, F.col("doc_id") == F.col("node")).mapInPandas(
-        rows, "node long, hashes binary"
-    )
+    joined = docs.join(wanted, F.col("doc_id") == F.col("node"))
+    return joined.select("node", "set_key", "text").mapInArrow(rows, "node long, hashes binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -124,13 +128,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         own = sets.select(F.col("node").alias(side), F.col("hashes").alias(f"h_{side}"))
         pairs = pairs.join(own, side)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = ((np.frombuffer(x, np.uint64) for x in batch[h]) for h in ("h_a", "h_b"))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (x for batch in batches for x in sliced(batch)):
+            both = (part.column(h).to_pylist() for h in ("h_a", "h_b"))
+            sets = ([np.frombuffer(x, np.uint64) for x in side] for side in both)
             ok = [resembles(a, b, percent) for a, b in zip(*sets, strict=True)]
-            yield batch.loc[ok, ["a", "b"]]
+            yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.mapInPandas(rows, "a long, b long").distinct()
+    return pairs.select("a", "b", "h_a", "h_b").mapInArrow(rows, "a long, b long").distinct()
 
 
 def tiles(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:

@@ -22,13 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.llm.common import table, texts
+from periodica.llm.common import sliced, table, texts
 from periodica.llm.pieces import Segmenter, Vocabulary, decode
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-ROWS = 500
 
 
 @lru_cache(2)
@@ -48,8 +47,7 @@ def encoded(
         words = vocabulary(shared.value)
         segmenter = Segmenter(words, dropout)
         for whole in batches:
-            for first in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(first, ROWS)
+            for batch in sliced(whole):
                 found = batch.column("text").to_pylist()
                 keys = batch.column("key").to_numpy().view(np.uint64)
                 pieces = segmenter.encode(found, keys)
@@ -77,8 +75,7 @@ def decoded(rows: DataFrame, model_file: str = MODEL) -> DataFrame:
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(shared.value)
         for whole in batches:
-            for first in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(first, ROWS)
+            for batch in sliced(whole):
                 found = [
                     None if x is None else decode(words, x) for x in batch.column("pieces").to_pylist()
                 ]

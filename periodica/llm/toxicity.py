@@ -19,15 +19,15 @@ text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from periodica.llm.common import free_name, learnable, stored, table, texts
+from periodica.llm.common import free_name, learnable, sliced, stored, table, texts
 
 SAMPLE_ROWS = 2500
 N_FEATURES = 1 << 13
@@ -89,19 +89,29 @@ def sample_of(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame
     return chosen.filter(F.col("text").isNotNull()).dropDuplicates(["doc_id"])
 
 
+def feature_batch(toxic: pa.Array, features: list[np.ndarray]) -> pa.RecordBatch:
+    ends = np.cumsum([0, *map(len, features)]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.int32), *features])
+    return pa.RecordBatch.from_pydict(
+        {"toxic": toxic, "features": pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))}
+    )
+
+
+def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, features) from (toxic, text)."""
+    for part in (x for batch in batches for x in sliced(batch)):
+        found = [np.unique(buckets(t)) for t in part.column("text").to_pylist()]
+        yield feature_batch(part.column("toxic"), found)
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
     sample_rows: int = SAMPLE_ROWS,
     n_features: int = N_FEATURES,
 ) -> Model:
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [np.unique(buckets(t)) for t in batch["text"]]
-            yield pd.DataFrame({"toxic": batch["toxic"], "features": found})
-
-    sample = sample_of(docs, labels, sample_rows)
-    cuts = stored(sample.mapInPandas(cut, "toxic int, features array<int>"))
+    sample = sample_of(docs, labels, sample_rows).select("toxic", "text")
+    cuts = stored(sample.mapInArrow(cut, "toxic int, features array<int>"))
     toxic = F.sum("toxic").alias("n_toxic")
     size = cuts.agg(F.count("*").alias("n"), toxic).first()
     n, n_toxic = size.n, size.n_toxic or 0
@@ -126,12 +136,12 @@ def learn(
     column = np.full(1 << BITS, -1, np.int32)
     column[features] = np.arange(len(features))
 
-    def restrict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [column[np.asarray(x, np.int64)] for x in batch["features"]]
-            yield pd.DataFrame({"toxic": batch["toxic"], "features": [x[x >= 0] for x in own]})
+    def restrict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (x for batch in batches for x in sliced(batch)):
+            own = [column[x.values.to_numpy()] for x in part.column("features")]
+            yield feature_batch(part.column("toxic"), [x[x >= 0] for x in own])
 
-    small = cuts.mapInPandas(restrict, "toxic int, features array<int>").toPandas()
+    small = cuts.mapInArrow(restrict, "toxic int, features array<int>").toPandas()
     weights, intercept = logistic(
         [np.asarray(x, np.int64) for x in small["features"]], small["toxic"].to_numpy(), ratios
     )
@@ -157,30 +167,36 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray) -> tuple
     return w[:-1], float(w[-1])
 
 
+def scored(texts: pa.Array, score: Callable[[str], float]) -> np.ndarray:
+    """The score of each text; a null counts as empty."""
+    return np.array([score(t or "") for part in sliced(texts) for t in part.to_pylist()], float)
+
+
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of `docs` (doc_id, text) the columns of SCHEMA."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
         for batch in batches:
-            found = np.array([score(t) for t in batch["text"]], float)
-            out = batch[["doc_id", "held_out"]]
-            yield out.assign(score=found, predicted=(found >= 0.5).astype(np.int32))
+            found = scored(batch.column("text"), score)
+            columns = {name: batch.column(name) for name in ("doc_id", "held_out")}
+            columns |= {"score": pa.array(found), "predicted": pa.array(found >= 0.5).cast(pa.int32())}
+            yield pa.RecordBatch.from_pydict(columns)
 
     held_out = ~F.coalesce(learnable(F.col("doc_id")), F.lit(True))
-    return texts(docs).select("doc_id", held_out.alias("held_out"), "text").mapInPandas(predict, SCHEMA)
+    return texts(docs).select("doc_id", held_out.alias("held_out"), "text").mapInArrow(predict, SCHEMA)
 
 
 def clean_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """`docs`, all columns, without the rows predicted toxic; a map, no join."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def is_clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def is_clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = shared.value.scorer()
         for batch in batches:
-            yield pd.Series([score(t or "") < 0.5 for t in batch], dtype=bool)
+            yield pa.array(scored(batch, score) < 0.5)
 
     mark = free_name(docs.columns, "is_clean")
     return docs.withColumn(mark, is_clean(F.col(f"`{text_col}`"))).filter(F.col(mark)).drop(mark)

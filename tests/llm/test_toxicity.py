@@ -1,10 +1,12 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
-from periodica.llm.toxicity import Model, buckets, clean_rows, learn, op3_toxicity, scores
+from periodica.llm.toxicity import Model, buckets, clean_rows, cut, learn, op3_toxicity, scored, scores
 
 SF = "/root/testdata/sf0.1"
 
@@ -62,3 +64,18 @@ def test_too_few_labels(spark):
         assert {r.score for r in scores(docs, learn(docs, marks)).collect()} == {expected}
     assert {r.score for r in scores(docs, learn(docs, labels.filter("toxic = 1"))).collect()} == {1.0}
     assert scores(docs.limit(0), Model(np.zeros(0, int), np.zeros(0), 0.0)).collect() == []
+
+
+def test_few_texts_of_a_batch_are_python_strings_at_once():
+    texts = pa.array(["x" * 4000] * 5000 + [None])
+    tracemalloc.start()
+    found = scored(texts, len)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000 and found.tolist() == [4000.0] * 5000 + [0.0]
+    batch = pa.RecordBatch.from_pydict({"toxic": pa.array([1, 0] * 600, pa.int32()), "text": ["ab", "b"] * 600})
+    parts = list(cut([batch]))
+    assert max(x.num_rows for x in parts) < 1000 and sum(x.num_rows for x in parts) == 1200
+    rows = [r for x in parts for r in x.to_pylist()]
+    assert rows[0] == {"toxic": 1, "features": np.unique(buckets("ab")).tolist()}
+    assert rows[1199] == {"toxic": 0, "features": np.unique(buckets("b")).tolist()}
