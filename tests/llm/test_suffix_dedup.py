@@ -3,10 +3,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from periodica.llm import phrases as P
 from periodica.llm.suffix_dedup import op10_suffix_dedup, repeated_passages
-from periodica.llm.suffix_order import suffix_ranks
+from periodica.llm.suffix_order import running, suffix_ranks
 
 SF = "/root/testdata/sf0.001"
 
@@ -121,3 +122,14 @@ def test_boundaries_are_local():
         at = {int(x) - len(front) for x in start}
         inner.add(frozenset(x for x in at if P.BEFORE <= x < len(body) - P.BEHIND))
     assert len(inner) == 1
+
+
+def test_running_totals(spark):
+    """Totals over all smaller keys, null first, with the totals of the ranges as the only window."""
+    keys = [None, None, *range(60), 7, 7]
+    rows = spark.createDataFrame([(k, 1 if k is None else k) for k in keys], "key long, n long")
+    found = running(rows, ["key"], {"total": F.col("n")})
+    got = {r.key: r.total for r in found.collect()}
+    assert got[None] == 0 and len(got) == 61
+    assert all(got[k] == sum(n if n is not None else 1 for n in keys if n is None or n < k) for k in range(60))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
