@@ -2,11 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from periodica.llm import phrases as P
-from periodica.llm.suffix_dedup import op10_suffix_dedup, repeated_passages
+from periodica.llm.suffix_dedup import column, op10_suffix_dedup, repeated_passages
 from periodica.llm.suffix_order import running, suffix_ranks
 
 SF = "/root/testdata/sf0.001"
@@ -75,6 +76,21 @@ def test_periodic_texts(spark):
     compare(spark, texts)
 
 
+def test_surroundings_tell_places_apart():
+    """Neighbouring phrases of a period may have the same phrases around, at other places in them."""
+    name, length = np.tile(np.array([11, 12, 13, 14]), 8), np.tile(np.array([90, 72, 29, 87]), 8)
+    around, whole = P.Covers(name, length, np.ones(32, int)).key(P.LENGTH, before=P.BEFORE)
+    found = {(int(k), int(n)) for k, n in zip(around[whole], name[whole], strict=True)}
+    assert len({k for k, _ in found}) == len(found) == 4
+
+
+def test_keys_keep_64_bits():
+    """Keys don't depend on whether other rows of the batch lack theirs."""
+    values = np.array([(1 << 62) + 1, 5])
+    found = column(values, np.array([True, False]), pd.DataFrame(index=[3, 4]))
+    assert found.to_list() == [(1 << 62) + 1, pd.NA]
+
+
 def test_defined_results(spark):
     rng = random.Random(3)
     long = words(rng, 120)
