@@ -91,6 +91,17 @@ def test_keys_keep_64_bits():
     assert found.to_list() == [(1 << 62) + 1, pd.NA]
 
 
+def test_short_phrases(spark):
+    """Repeats that begin in more short phrases than the order tells apart."""
+    rng, texts = random.Random(6), []
+    for n in range(12):
+        middle, tail = words(rng, 4)[:20], "vwxyz" * 60
+        unit = "".join(rng.sample("abcdefgh", 4))
+        texts += [words(rng, 20) + unit * (28 + n) + middle + tail[: 280 - 3 * n] + words(rng, 20),
+                  words(rng, 20) + unit * 90 + middle + tail + words(rng, 20)]
+    compare(spark, texts)
+
+
 def test_defined_results(spark):
     rng = random.Random(3)
     long = words(rng, 120)
